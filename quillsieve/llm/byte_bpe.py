@@ -13,7 +13,9 @@ an output column that exists already is replaced.
 from __future__ import annotations
 
 import base64
+from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,13 +27,13 @@ from pyspark.sql import types as T
 from quillsieve.llm.common import table
 
 #: Text bytes that are split and encoded at once; a single longer text is taken whole.
-SLICE_BYTES = 6_000_000
+SLICE_BYTES = 2_000_000
 #: Pieces whose ids are remembered within a task, and the longest such piece in bytes.
-CACHE_PIECES, CACHE_BYTES = 250_000, 40
+CACHE_PIECES, CACHE_BYTES = 150_000, 40
 #: Pieces longer than this many bytes contract every safe pair of a round at once (see ``LONG``).
 LONG_BYTES = 64
 #: Ids that are decoded at once.
-SLICE_IDS = 1_500_000
+SLICE_IDS = 500_000
 
 #: One contraction a round: ``w`` piece, ``ids`` its tokens, ``go`` whether the last round changed it.
 SHORT = """
@@ -78,8 +80,8 @@ SELECT w, list(t ORDER BY p) AS ids FROM (SELECT *, max(k) OVER (PARTITION BY w)
 
 #: Ordered aggregation of the vocabulary's bytes, each byte as the character of that number.
 DECODE = """
-SELECT d, string_agg(v.chars, '' ORDER BY p) AS chars
-FROM (SELECT d, unnest(ids) AS id, generate_subscripts(ids, 1) AS p FROM coded) x JOIN vocab v ON v.id = x.id
+SELECT d, array_to_string(list(v.chars ORDER BY p), '') AS chars
+FROM coded JOIN vocab v ON v.id = coded.id
 GROUP BY d
 """
 
@@ -113,25 +115,29 @@ class Session:
         import regex
 
         self.ranks, self.find = tok.ranks, regex.compile(tok.pattern).findall
-        self.one = {t: np.uint32(r).tobytes() for t, r in tok.ranks.items()}
         self.bytes_to_id = np.array([tok.ranks[bytes([i])] for i in range(256)], dtype=np.int32)
+        self.top = max(tok.ranks.values())
+        self.known = np.zeros(self.top + 1, dtype=bool)
+        self.known[np.fromiter(tok.ranks.values(), dtype=np.int64)] = True
         self.seen: dict[str, bytes] = {}
         self.con = con = duckdb.connect()
-        con.execute("SET threads = 1; SET memory_limit = '400MB'")
-        above: dict[bytes, int] = {}  # of each token: the least rank of the tokens that start or end with it
-        pairs = []
+        con.execute("SET threads = 1; SET memory_limit = '200MB'; SET preserve_insertion_order = false")
+        above = np.full(self.top + 1, np.iinfo(np.int32).max, dtype=np.int32)  # of each token: the least rank of the tokens that start or end with it
+        left, right, whole = array("i"), array("i"), array("i")
+        get = tok.ranks.get
         for t, r in tok.ranks.items():
             for i in range(1, len(t)):
-                a, b = t[:i], t[i:]
+                a, b = get(t[:i], -1), get(t[i:], -1)
+                if a >= 0 and b >= 0:
+                    left.append(a)
+                    right.append(b)
+                    whole.append(r)
                 for x in (a, b):
-                    if x in tok.ranks:
-                        above[x] = min(above.get(x, r), r)
-                if a in tok.ranks and b in tok.ranks:
-                    pairs.append((tok.ranks[a] << 32 | tok.ranks[b], r, t))
-        merges = pa.table({"pair": pa.array([p for p, _, _ in pairs], pa.int64()), "rank": pa.array([r for _, r, _ in pairs], pa.int32()), "safe": pa.array([above.get(t, r) >= r for _, r, t in pairs], pa.bool_())})
-        vocab = pa.table({"id": pa.array([*tok.ranks.values()], pa.int32()), "chars": pa.array([t.decode("latin-1") for t in tok.ranks], pa.string())})
-        con.register("m", merges)
-        con.register("v", vocab)
+                    if x >= 0 and r < above[x]:
+                        above[x] = r
+        rank = np.array(whole, dtype=np.int32)
+        con.register("m", pa.table({"pair": np.array(left, dtype=np.int64) << 32 | np.array(right, dtype=np.int64), "rank": rank, "safe": above[rank] >= rank}))
+        con.register("v", pa.table({"id": pa.array([*tok.ranks.values()], pa.int32()), "chars": pa.array([t.decode("latin-1") for t in tok.ranks], pa.string())}))
         con.execute("CREATE TABLE merges AS SELECT * FROM m; CREATE TABLE vocab AS SELECT * FROM v")
         con.unregister("m")
         con.unregister("v")
@@ -167,12 +173,12 @@ class Session:
     def encode(self, texts: list[str]) -> list[bytes]:
         """Each text's ids, as little-endian unsigned 32-bit integers."""
         split = [self.find(t) if t else [] for t in texts]
-        new = {p for pieces in split for p in pieces if p not in self.seen}
+        new = set(chain.from_iterable(split)).difference(self.seen)
         ids, todo = {}, []
         for p in new:
             raw = p.encode()
-            if (own := self.one.get(raw)) is not None:
-                ids[p] = own
+            if (own := self.ranks.get(raw)) is not None:
+                ids[p] = own.to_bytes(4, "little")
             else:
                 todo.append((p, raw))
         if todo:
@@ -188,11 +194,10 @@ class Session:
     def decode(self, coded: list[bytes]) -> list[bytes]:
         """The bytes that each row of ids stands for. An id outside the vocabulary is an error."""
         sizes = np.fromiter((len(c) // 4 for c in coded), dtype=np.int64, count=len(coded))
-        flat = np.frombuffer(b"".join(coded), dtype="<u4").astype(np.int32)
-        if len(flat) and not set(np.unique(flat).tolist()) <= set(self.ranks.values()):
+        flat = np.frombuffer(b"".join(coded), dtype="<u4")
+        if len(flat) and (flat.max() > self.top or not self.known[flat].all()):
             raise ValueError("an id is not in the vocabulary")
-        ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-        self.con.register("coded", pa.table({"d": pa.array(np.arange(len(coded), dtype=np.int32)), "ids": pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))}))
+        self.con.register("coded", pa.table({"d": np.repeat(np.arange(len(coded), dtype=np.int32), sizes), "id": flat.astype(np.int32), "p": np.arange(len(flat), dtype=np.int32)}))
         got = self.con.sql(DECODE).to_arrow_table()
         self.con.unregister("coded")
         out = [b""] * len(coded)
@@ -221,10 +226,13 @@ def _schema(df: DataFrame, new: list[T.StructField]) -> T.StructType:
     return T.StructType([f for f in df.schema if f.name.lower() not in taken] + new)
 
 
-def encode(df: DataFrame, tokenizer: Tokenizer, text_col: str = "text", ids_col: str = "ids", count_col: str = "n_tokens", packed: bool = False) -> DataFrame:
-    """``df`` with ``count_col`` (long) and ``ids_col``: an array of int or, ``packed``, little-endian unsigned 32-bit binary."""
+def encode(df: DataFrame, tokenizer: Tokenizer, text_col: str = "text", ids_col: str = "ids", count_col: str = "n_tokens", packed: bool = False, decoded_col: str | None = None) -> DataFrame:
+    """``df`` with ``count_col`` (long) and ``ids_col``: an array of int or, ``packed``, little-endian unsigned 32-bit binary.
+
+    With ``decoded_col`` the ids are decoded again in the same pass, into a binary column of that name.
+    """
     kind = T.BinaryType() if packed else T.ArrayType(T.IntegerType(), False)
-    schema = _schema(df, [T.StructField(count_col, T.LongType(), False), T.StructField(ids_col, kind, False)])
+    schema = _schema(df, [T.StructField(count_col, T.LongType(), False), T.StructField(ids_col, kind, False)] + ([T.StructField(decoded_col, T.BinaryType(), False)] if decoded_col else []))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         session = tokenizer.session()
@@ -238,7 +246,10 @@ def encode(df: DataFrame, tokenizer: Tokenizer, text_col: str = "text", ids_col:
                     column = pa.array(ids, pa.binary())
                 else:
                     column = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), pa.array(np.frombuffer(b"".join(ids), dtype="<i4")))
-                yield _with(batch, names, {count_col: pa.array(counts), ids_col: column})
+                new = {count_col: pa.array(counts), ids_col: column}
+                if decoded_col:
+                    new[decoded_col] = pa.array(session.decode(ids), pa.binary())
+                yield _with(batch, names, new)
 
     names = schema.names
     return df.mapInArrow(run, schema)
@@ -267,5 +278,5 @@ def op3_byte_bpe(spark, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     tokenizer = Tokenizer(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
-    coded = decode(encode(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer, packed=True).drop("text"), tokenizer)
+    coded = encode(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer, packed=True, decoded_col="decoded")
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
