@@ -7,7 +7,7 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 _own_folder: list[str] = []
@@ -59,3 +59,18 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+
+
+def lowest_hashes(df: DataFrame, group: str, h: Column, most: int, groups: int = 1000) -> DataFrame:
+    """Of each of the ``groups`` largest groups of ``df``, the ``most`` rows of lowest hash ``h``, with their ``place``.
+
+    Counts give a bound on the hashes first, a little high, so that the window sees a bounded number of rows.
+    """
+    counts = {r[0]: r[1] for r in df.where(F.col(group).isNotNull()).groupBy(group).count().orderBy(F.desc("count"), group).limit(groups).collect()}
+    if not counts:
+        return df.limit(0).withColumn("place", F.lit(0))
+    share = {k: (most + 8 * most**0.5) / n for k, n in counts.items()}
+    bound = F.create_map(*[x for k, v in share.items() for x in (F.lit(k), F.lit(2**63 - 1 if v >= 1 else int(-(2**63) + v * 2**64)))])
+    near = df.withColumn("hash_of_row", h).where(F.col("hash_of_row") <= bound[F.col(group)])
+    order = Window.partitionBy(group).orderBy("hash_of_row")
+    return near.withColumn("place", F.row_number().over(order)).where(F.col("place") <= most).drop("hash_of_row")

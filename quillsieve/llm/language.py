@@ -20,12 +20,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quillsieve.llm import chars
-from quillsieve.llm.common import crc_fold, free_name, table
+from quillsieve.llm.common import crc_fold, free_name, lowest_hashes, table
 
 #: Labelled rows of a language that learning takes at most, the landmarks among them, and the languages at most.
 SAMPLE, LANDMARKS, MOST_LANGUAGES = 400, 48, 400
@@ -67,15 +67,8 @@ def scaled(x: np.ndarray) -> np.ndarray:
 
 
 def _labelled(df: DataFrame, learn: Column, id_col: str, text_col: str, lang_col: str) -> DataFrame:
-    rows = df.where(learn & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"), F.xxhash64(F.coalesce(F.col(id_col).cast("string"), F.lit(""))).alias("h"))
-    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()}
-    if not counts:
-        return rows.limit(0)
-    # the lowest hashes, cut off a little high so that the window below sees a bounded number of rows
-    share = {k: min(1.0, (SAMPLE + 8 * SAMPLE**0.5) / n) for k, n in counts.items()}
-    bound = F.create_map(*[x for k, v in share.items() for x in (F.lit(k), F.lit(int(-(2**63) + v * (2**64 - 1)) if v < 1 else 2**63 - 1))])
-    near = rows.where(F.col("h") <= bound[F.col("lang")])
-    return near.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy("h", F.xxhash64("text")))).where(F.col("place") <= SAMPLE)
+    rows = df.where(learn & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"), F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("id"))
+    return lowest_hashes(rows, "lang", F.xxhash64("id"), SAMPLE, MOST_LANGUAGES)
 
 
 def _bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
