@@ -269,7 +269,7 @@ def link_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n:
     meets = banded.join(kept, "bucket").groupBy("key").agg(F.collect_list(F.struct("bucket", "chunks")).alias("meets"))
     wanted = written(meets.join(ids.select("key", "least"), "key"), "candidates")
     same_id = F.col("k.id").eqNullSafe(F.col("w.least.id"))
-    found = keyed.alias("k").join(wanted.alias("w"), (F.col("k.key") == F.col("w.key")) & same_id).select(F.col("k.key").alias("key"), "text", "meets", F.col("w.least.n").alias("times"))
+    found = keyed.alias("k").join(wanted.alias("w").hint("shuffle_hash"), (F.col("k.key") == F.col("w.key")) & same_id).select(F.col("k.key").alias("key"), "text", "meets", F.col("w.least.n").alias("times"))
     once = found.where("times = 1").unionByName(found.where("times > 1").dropDuplicates(["key"]))
     dealt = once.select("key", "text", F.col("meets.bucket").alias("kept"), F.explode("meets").alias("at")).select("key", "text", "kept", "at.bucket", "at.chunks")
     chunk = F.pmod(F.xxhash64("key", "bucket"), F.col("chunks")).cast("int")
