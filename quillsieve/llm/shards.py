@@ -19,6 +19,8 @@ from quillsieve.llm.common import free_name, new_path, table
 
 #: Bytes of text in a bucket, about, and the fewest buckets of a shard.
 BUCKET_BYTES, FEWEST_BUCKETS = 4_000_000, 16
+#: Buckets up to this number are broadcast with their first slots (24 bytes each); more are joined by shuffling.
+BROADCAST_BUCKETS = 200_000
 
 
 def rendezvous(key: Column, n: int, seed: int) -> Column:
@@ -48,6 +50,8 @@ def shard(df: DataFrame, n_shards: int, key_col: str = "doc_id", text_col: str =
     counts = back.groupBy("shard", "bucket").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select("shard", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    if n_shards * buckets <= BROADCAST_BUCKETS:
+        starts = F.broadcast(starts)
     return path, back.join(starts, ["shard", "bucket"]).select(*keep, "shard", (F.col("start") + F.col("place")).alias("slot"), "bucket")
 
 
