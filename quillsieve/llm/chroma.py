@@ -89,9 +89,9 @@ def packed(image: np.ndarray) -> np.ndarray:
     return out
 
 
-def fingerprint(df: DataFrame, audio_col: str = "audio", codes_col: str = "codes", frames_col: str = "n_frames") -> DataFrame:
+def fingerprint(df: DataFrame, audio_col: str = "audio", codes_col: str = "codes", frames_col: str = "n_frames", drop_audio: bool = False) -> DataFrame:
     """``df`` with ``frames_col`` (int) and ``codes_col`` (binary: little-endian unsigned 32-bit integers)."""
-    keep = [c for c in df.columns if c.lower() not in (codes_col.lower(), frames_col.lower())]
+    keep = [c for c in df.columns if c.lower() not in (codes_col.lower(), frames_col.lower()) and not (drop_audio and c == audio_col)]
     audio = free_name(df, "audio_of_row")
     schema = T.StructType([df.schema[c] for c in keep] + [T.StructField(frames_col, T.IntegerType(), False), T.StructField(codes_col, T.BinaryType(), False)])
 
@@ -225,10 +225,10 @@ def op2_chroma(spark, sf_dir: str) -> DataFrame:
     The test tables hold no audio, so each vector is played as a melody, which is the media column here.
     """
     rows = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("v"))
-    prints = written(fingerprint(recorded(rows)), "fingerprints").select("id", "n_frames", "codes", F.unhex(F.md5("codes")).alias("key"))
+    prints = written(fingerprint(recorded(rows), drop_audio=True), "fingerprints").select("id", "n_frames", "codes", F.unhex(F.md5("codes")).alias("key"))
     groups = prints.where(F.octet_length("codes") > 0).groupBy("key").agg(F.min("id").alias("class_id"), F.count(F.lit(1)).alias("n_copies"), F.first("codes").alias("codes"))
     groups = written(groups, "classes")
-    clips = fingerprint(recorded(rows.where(F.col("id") % 50 == 0).dropDuplicates(["id"]), clip=True)).select("id", "codes")
+    clips = fingerprint(recorded(rows.where(F.col("id") % 50 == 0).dropDuplicates(["id"]), clip=True), drop_audio=True).select("id", "codes")
     found = align(clips, groups.select(F.col("class_id").alias("id"), "codes"))
     best = Window.partitionBy("query_id").orderBy(F.col("votes").desc(), "bit_error", "id")
     first = found.withColumn("place", F.row_number().over(best)).where("place = 1").select(F.col("query_id").alias("id"), F.col("id").alias("match_class"), "offset", "votes", "overlap", "bit_error")
