@@ -10,7 +10,7 @@ import numpy as np
 #: Bits of a code. Letters and digits below 1024 keep their number; others are hashed; all else is ``EDGE``.
 BITS, EDGE = 10, 1
 #: Characters that are handled at once; a single longer text is taken whole.
-SLICE_CHARS = 1_500_000
+SLICE_CHARS = 500_000
 
 
 @lru_cache(maxsize=1)
@@ -48,3 +48,14 @@ def slices(texts: list[str | None], most: int = SLICE_CHARS) -> Iterator[tuple[i
         total += n
     if start < len(texts):
         yield start, len(texts)
+
+
+def word_grams(code: np.ndarray, n: int) -> np.ndarray:
+    """Like ``grams``, but a context ends at the last edge before it: what came before a word's start does not count."""
+    out, alive = code.copy(), np.ones(len(code), dtype=bool)
+    for i in range(1, min(n, len(code))):
+        before = np.empty_like(code)
+        before[:i], before[i:] = EDGE, code[:-i]
+        out |= np.where(alive, before, 0) << np.int64(BITS * i)
+        alive &= before != EDGE
+    return out

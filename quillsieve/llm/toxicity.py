@@ -1,12 +1,13 @@
 """Toxicity by class-conditional Kneser-Ney models over characters.
 
-Each class (toxic, ordinary) has its own counts of character 6-grams. A class's probability of a character after five
+Each class (toxic, ordinary) has its own counts of character 6-grams within words, with edges; what came before a word
+is no context, so that the start of a word is judged as such. A class's probability of a character after up to five
 others is its discounted count plus, weighted by what was discounted, a backoff probability that both classes share:
 Kneser-Ney continuation counts of the 5-grams down to single characters, from the 6-grams of both classes together. So
 rare expressions and new forms of known ones are smoothed by all text. A text's two log-likelihoods are compared per
 character, over the whole text and over every window of 16 characters. A logistic calibration, fitted on labelled rows
-that the counts have not seen, turns the whole text's mean, the highest window and the mean of the eight highest into
-a score.
+that its counts have not seen, turns the whole text's mean, the highest window and the mean of the eight highest into
+a score; then the counts take in those rows too.
 
 Learning takes at most ``SAMPLE`` labelled rows of a class, those whose id hashes lowest. If their 6-grams are more than
 ``MOST_GRAMS``, the rarest are left to the shared backoff. All texts are scored whole.
@@ -31,7 +32,7 @@ from quillsieve.llm import chars
 from quillsieve.llm.common import crc_fold, free_name, lowest_hashes, table, written
 
 #: Labelled rows of a class that learning takes at most, and 6-grams that are kept at most.
-SAMPLE, MOST_GRAMS = 60_000, 3_000_000
+SAMPLE, MOST_GRAMS = 60_000, 2_000_000
 ORDER, WINDOW, STEP, TOP = 6, 16, 4, 8
 #: Of the learning rows, every this many-th fits the calibration and not the counts.
 HELD = 4
@@ -44,7 +45,7 @@ def _grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """The packed 6-gram that ends at each character of each text, one text after the other, and the texts' lengths."""
     code, starts, sizes = chars.codes(texts, ORDER)
     at = np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
-    return (chars.grams(code, ORDER) & _MASK)[at], sizes
+    return (chars.word_grams(code, ORDER) & _MASK)[at], sizes
 
 
 class Lookup:
@@ -111,12 +112,18 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.weights[0] + (features - self.mean) / self.scale @ self.weights[1:], -40, 40)))
 
 
-def _continuation(types: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The 5-grams that end the given 6-grams, and the probability of their last character by Kneser-Ney backoff."""
+def _continuation(types: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The 5-grams that end the given 6-grams, and the probability of their last character by Kneser-Ney backoff.
+
+    An n-gram counts as often as different characters come before it; one that starts at a word's edge has nothing
+    before it and counts as often as it occurs.
+    """
     levels = []
     for n in range(ORDER - 1, 0, -1):
-        types, different = np.unique(types & np.int64((1 << (chars.BITS * n)) - 1), return_counts=True)
-        levels.append((types, different))
+        types, at = np.unique(types & np.int64((1 << (chars.BITS * n)) - 1), return_inverse=True)
+        counts = np.bincount(at, weights=counts)
+        first = types >> np.int64(chars.BITS * (n - 1))
+        levels.append((types, np.where(first <= chars.EDGE, counts, np.bincount(at))))
     below: tuple[np.ndarray, np.ndarray] | None = None
     for n, (types, different) in enumerate(reversed(levels), 1):
         _, context = np.unique(types >> np.int64(chars.BITS), return_inverse=True)
@@ -135,7 +142,7 @@ def _discount(counts: np.ndarray) -> float:
 
 def kneser_ney(keys: np.ndarray, counts: np.ndarray) -> Model:
     """Log ratios from sorted 6-grams and their counts (a row for each class, toxic first)."""
-    low_types, low = _continuation(keys)
+    low_types, low = _continuation(keys, counts.sum(axis=0))
     shared = low[np.searchsorted(low_types, keys & np.int64((1 << (chars.BITS * (ORDER - 1))) - 1))]
     contexts, context = np.unique(keys >> np.int64(chars.BITS), return_inverse=True)
     logs, rests = [], []
@@ -147,15 +154,18 @@ def kneser_ney(keys: np.ndarray, counts: np.ndarray) -> Model:
     return Model(Lookup(keys, (logs[0] - logs[1]).astype(np.float32)), Lookup(contexts, (rests[0] - rests[1]).astype(np.float32)))
 
 
+_COUNTS = ["toxic", "ordinary", "toxic_held", "ordinary_held"]
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts, toxic = batch.column("text").to_pylist(), batch.column("toxic").to_numpy(zero_copy_only=False)
+        texts = batch.column("text").to_pylist()
+        column = np.where(batch.column("toxic").to_numpy(zero_copy_only=False) == 1, 0, 1) + 2 * batch.column("held").to_numpy(zero_copy_only=False).astype(np.int64)
         for a, b in chars.slices(texts):
             keys, sizes = _grams([t or "" for t in texts[a:b]])
-            of_toxic = np.repeat(toxic[a:b] == 1, sizes)
             kinds, at = np.unique(keys, return_inverse=True)
-            both, one = np.bincount(at, minlength=len(kinds)), np.bincount(at, weights=of_toxic, minlength=len(kinds)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(kinds), pa.array(one), pa.array(both - one)], names=["gram", "toxic", "ordinary"])
+            counts = np.bincount(at * 4 + np.repeat(column[a:b], sizes), minlength=4 * len(kinds)).reshape(-1, 4)
+            yield pa.RecordBatch.from_arrays([pa.array(kinds)] + [pa.array(np.ascontiguousarray(c)) for c in counts.T], names=["gram", *_COUNTS])
 
 
 def _calibrated(model: Model, features: np.ndarray, label: np.ndarray) -> Model:
@@ -179,23 +189,25 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id
     # at most two classes of SAMPLE ids, which every task can hold
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).join(F.broadcast(chosen.select("id", "toxic")), "id")
     fold = F.pmod(F.floor(F.crc32(F.col("id").cast("string").cast("binary")) / 3), F.lit(HELD))
-    grams = rows.where(fold != 0).select("text", "toxic").mapInArrow(_count, "gram long, toxic long, ordinary long").groupBy("gram").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
-    grams = written(grams, "grams")
-    times = {r["n"]: r["count"] for r in grams.groupBy(F.least(F.col("toxic") + F.col("ordinary"), F.lit(1000)).alias("n")).count().collect()}
+    counted = rows.select("text", "toxic", (fold == 0).alias("held")).mapInArrow(_count, "gram long, " + ", ".join(f"{c} long" for c in _COUNTS))
+    grams = written(counted.groupBy("gram").agg(*[F.sum(c).cast("int").alias(c) for c in _COUNTS]), "grams")
+    total = F.col("toxic") + F.col("ordinary") + F.col("toxic_held") + F.col("ordinary_held")
+    times = {r["n"]: r["count"] for r in grams.groupBy(F.least(total, F.lit(1000)).alias("n")).count().collect()}
     cut, kept = 1, sum(times.values())
     while kept > MOST_GRAMS and cut < 1000:
         kept -= times.get(cut, 0)
         cut += 1
-    got = grams.where(F.col("toxic") + F.col("ordinary") >= cut).toArrow()
-    keys, counts = got["gram"].to_numpy(), np.stack([got["toxic"].to_numpy(), got["ordinary"].to_numpy()]).astype(float)
+    got = grams.where(total >= cut).toArrow()
+    keys, counts = got["gram"].to_numpy(), np.stack([got[c].to_numpy() for c in _COUNTS])
+    del got
     order = np.argsort(keys)
     keys, counts = keys[order], counts[:, order]
-    if not len(keys) or not counts.sum(axis=1).all():
-        share = named.agg(F.coalesce(F.avg("toxic"), F.lit(0.0)).alias("share")).first()["share"]
-        return float(share)
-    model = kneser_ney(keys, counts)
-    held = _applied(rows.where(fold == 0).select("text", "toxic"), model, "text", ["toxic"]).collect()
+    if not counts[:2].any(axis=1).all():
+        return float(named.agg(F.coalesce(F.avg("toxic"), F.lit(0.0)).alias("share")).first()["share"])
+    first = counts[:2].any(axis=0)
+    held = _applied(rows.where(fold == 0).select("text", "toxic"), kneser_ney(keys[first], counts[:2, first].astype(float)), "text", ["toxic"]).collect()
     label = np.array([r["toxic"] for r in held], dtype=float)
+    model = kneser_ney(keys, (counts[:2] + counts[2:]).astype(float))
     if not len(held) or label.min() == label.max():
         return _calibrated(model, np.zeros((2, 4)) + [[-1], [1]], np.array([0.0, 1.0]))
     return _calibrated(model, np.array([[r["mean"], r["high"], r["highs"], r["length"]] for r in held]), label)

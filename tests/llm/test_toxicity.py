@@ -22,16 +22,39 @@ def test_lookup_finds_all_and_nothing_else():
     assert len(missing) == len(other) and not got.any()
 
 
-def test_kneser_ney_sums_to_one():
-    """For a context, each class's probabilities over all characters and the shared rest make 1."""
-    code = [np.array([3, 4, 5, 6, 7, c]) for c in (8, 9, 10)] + [np.array([3, 4, 5, 6, 8, 9])]
-    keys = np.sort(np.array([int(sum(int(x) << (10 * (5 - i)) for i, x in enumerate(g))) for g in code]))
-    _, low = X._continuation(keys)
-    assert (low > 0).all() and (low < 1).all()
-    model = X.kneser_ney(keys, np.array([[3.0, 0, 1, 2], [0, 5.0, 1, 2]]))
-    got, _ = model.seen.get(keys)
-    order = np.argsort(keys)
-    assert got[order[0]] > 0 > got[order[1]]
+def packed(text):
+    """The 6-gram of a word's prefix, as the model packs it."""
+    codes = ([1] + [ord(c) for c in text])[-6:]
+    return sum(c << (10 * i) for i, c in enumerate(reversed(codes)))
+
+
+def test_grams_stop_at_word_starts():
+    keys, sizes = X._grams(["ab cdefgh"])
+    got = dict(zip(range(9), keys.tolist(), strict=True))
+    assert sizes.tolist() == [9] and got[0] == packed("a") and got[1] == packed("ab") and got[3] == packed("c")
+    assert got[8] == sum(ord(c) << (10 * i) for i, c in enumerate("hgfedc"))
+
+
+def test_backoff_is_a_distribution():
+    """Over the characters that follow a context, the shared probabilities and what is left for others make 1."""
+    words = ["hello", "help", "held", "shell", "yell", "yes", "he"] * 3
+    keys, _ = X._grams(words)
+    types, times = np.unique(keys, return_counts=True)
+    low_types, low = X._continuation(types, times.astype(float))
+    assert (low > 0).all() and (low <= 1).all()
+    context = low_types >> np.int64(10)
+    for c in np.unique(context):
+        assert low[context == c].sum() <= 1 + 1e-9
+
+
+def test_log_ratios_favour_the_class_that_says_it():
+    keys, _ = X._grams(["badword", "goodword"])
+    types = np.unique(keys)
+    bad = np.isin(types, X._grams(["badword"])[0]) * 5.0
+    good = np.isin(types, X._grams(["goodword"])[0]) * 5.0
+    model = X.kneser_ney(types, np.stack([bad, good]))
+    f = model.features(["badword", "goodword", "other"])
+    assert f[0, 0] > 0.1 and f[1, 0] < -0.1 and abs(f[2, 0]) < f[0, 0]
 
 
 @pytest.fixture(scope="module")
