@@ -4,8 +4,8 @@ Base kinds (``email``, ``ip``, ``card``, ``phone``) are fixed patterns with chec
 overlapping candidates: digit sequences, written-out e-mail addresses, account numbers and hardware addresses. Each
 candidate gets format and context features. Gradient-boosted trees, fitted here on generated snippets of which the
 personal ones are known, score it; a threshold for each generator is calibrated on snippets that the trees have not
-seen, for a precision of ``PRECISION``. Candidates from the threshold up are selected from left to right where no
-selected or base span covers their start. The trees become one expression, so scoring stays in the engine.
+seen, for a precision of ``PRECISION``. Candidates from the threshold up are selected where no base span or
+other such candidate that starts before them covers their start. The trees become one expression, so scoring stays in the engine.
 
 Defined cases: a null text is an empty text and has no spans. Rows are independent: repeated rows give equal spans.
 Columns of the input named like an output column are replaced.
@@ -21,8 +21,9 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillsieve.functions.exprs import let
 from quillsieve.llm.common import table
-from quillsieve.llm.spans import SPAN, joined, kinded, regex_spans
+from quillsieve.llm.spans import SPAN, joined, kinded, prefixes, regex_spans
 
 # Starts inside a run of the first class cannot match where the run's start does not, so only run starts are tried.
 EMAIL = r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
@@ -233,13 +234,13 @@ def scan(df: DataFrame, model: Model, text_col: str = "text", spans_col: str = "
     scored = F.filter(candidates(text), lambda c: model.margin(c) >= model.threshold(c))
     added = F.transform(scored, lambda c: F.struct(c["start"].alias("start"), F.lit(4).alias("rank"), c["end"].alias("end"), c["kind"].alias("kind"), c["token"].alias("token")))
     everything = F.sort_array(F.concat(*base_spans(text), added))
-    empty = F.array().cast("array<struct<start:int,rank:int,end:int,kind:string,token:string>>")
-    chosen = F.aggregate(
-        everything,
-        F.struct(F.lit(0).alias("upto"), empty.alias("out")),
-        lambda acc, s: F.when((s["rank"] == 4) & (s["start"] < acc["upto"]), acc).otherwise(F.struct(F.greatest(acc["upto"], s["end"]).alias("upto"), F.concat(acc["out"], F.array(s)).alias("out"))),
-        lambda acc: acc["out"],
-    )
+
+    def uncovered(v: Column) -> Column:
+        ends = prefixes(v["all"], lambda s: s["end"], lambda a, b: F.greatest(a, b))
+        marked = F.zip_with(v["all"], ends, lambda s, upto: F.struct(s.alias("span"), ((s["rank"] < 4) | (s["start"] >= upto)).alias("keep")))
+        return F.transform(F.filter(marked, lambda m: m["keep"]), lambda m: m["span"])
+
+    chosen = let({"all": everything}, uncovered)
     return df.withColumn(spans_col, chosen)
 
 

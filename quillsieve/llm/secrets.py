@@ -16,8 +16,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quillsieve.functions.exprs import let
 from quillsieve.llm.common import table
-from quillsieve.llm.spans import SPAN, joined, kinded, regex_spans
+from quillsieve.llm.spans import SPAN, joined, kinded, prefixes, regex_spans
 
 BASE = {
     "assign": r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*+[:=]\x20*+["']?([A-Za-z0-9+/_.=-]++)""",
@@ -91,15 +92,14 @@ def scan(df: DataFrame, text_col: str = "text", spans_col: str = "secrets") -> D
 def redact(df: DataFrame, text_col: str = "text", spans_col: str = "secrets", mark: str = "[SECRET]") -> DataFrame:
     """``df`` with every found span replaced by ``mark`` (overlapping spans by one mark) and without ``spans_col``."""
     text = F.col(text_col)
-    merged = F.aggregate(
-        spans_col,
-        F.struct(F.lit("").alias("out"), F.lit(0).alias("at")),
-        lambda acc, s: F.struct(
-            F.when(s["start"] >= acc["at"], F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit(mark))).otherwise(acc["out"]).alias("out"),
-            F.greatest(acc["at"], s["end"]).alias("at"),
-        ),
-        lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))),
-    )
+
+    def masked(v: Column) -> Column:
+        upto = prefixes(v["spans"], lambda s: s["end"], lambda a, b: F.greatest(a, b))
+        pieces = F.zip_with(v["spans"], upto, lambda s, at: F.when(s["start"] >= at, F.concat(F.substring(v["text"], at + 1, s["start"] - at), F.lit(mark))).otherwise(F.lit("")))
+        last = F.array_max(F.transform(v["spans"], lambda s: s["end"]))
+        return F.concat(F.array_join(pieces, ""), F.substring(v["text"], last + 1, F.length(v["text"])))
+
+    merged = let({"spans": F.col(spans_col), "text": text}, masked)
     return df.withColumn(text_col, F.when(F.size(spans_col) > 0, merged).otherwise(text)).drop(spans_col)
 
 
