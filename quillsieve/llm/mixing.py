@@ -14,7 +14,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quillsieve.functions.exprs import let
 from quillsieve.llm.common import free_name, table
+from quillsieve.llm.spans import prefixes
 
 #: Sources up to this number are broadcast with their rates; more are joined with salted keys.
 BROADCAST_SOURCES, SALTS = 10_000, 64
@@ -28,16 +30,10 @@ def unit(key: Column) -> Column:
 def poisson_table(rate: Column) -> Column:
     """P(X <= k) for k = 0, 1, ... of a Poisson distribution, until what is left is far below 2**-52."""
     last = (F.ceil(rate + 12 * F.sqrt(rate)) + 30).cast("int")
-    return F.aggregate(
-        F.sequence(F.lit(1), last),
-        F.struct((-rate).alias("log_p"), F.exp(-rate).alias("sum"), F.array(F.exp(-rate)).alias("out")),
-        lambda acc, k: F.struct(
-            (acc["log_p"] + F.log(rate) - F.log(k.cast("double"))).alias("log_p"),
-            (acc["sum"] + F.exp(acc["log_p"] + F.log(rate) - F.log(k.cast("double")))).alias("sum"),
-            F.concat(acc["out"], F.array(acc["sum"] + F.exp(acc["log_p"] + F.log(rate) - F.log(k.cast("double"))))).alias("out"),
-        ),
-        lambda acc: acc["out"],
-    )
+    add, own = (lambda a, b: a + b), (lambda x: x)
+    steps = F.transform(F.sequence(F.lit(0), last), lambda k: F.when(k > 0, F.log(rate) - F.log(k.cast("double"))).otherwise(-rate))
+    summed = lambda v: F.zip_with(v["x"], prefixes(v["x"], own, add, F.lit(0.0)), add)
+    return let({"x": F.transform(let({"x": steps}, summed), lambda log_p: F.exp(log_p))}, summed)
 
 
 def rates(df: DataFrame, source_col: str, weights: dict | None, epochs: float) -> DataFrame:

@@ -29,7 +29,7 @@ def inverse(u, rate):
     return k
 
 
-@pytest.mark.parametrize("rate", [0.01, 1.0, 7.5, 900.0])
+@pytest.mark.parametrize("rate", [0.01, 1.0, 7.5, 900.0, 30_000.0])
 def test_poisson_inverse(spark, rate):
     cdf = spark.range(1).select(mixing.poisson_table(F.lit(rate)).alias("c")).first().c
     assert abs(cdf[-1] - 1) < 1e-9
