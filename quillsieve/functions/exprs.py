@@ -17,6 +17,9 @@ NUMBER_FORM = r"^-?[0-9]+(\.[0-9]+)?\z"
 INTEGER_FORM = r"^-?[0-9]+\z"
 # Unresolved-placeholder patterns, in the order in which they are tried.
 PLACEHOLDERS = [r"\bTODO\b", r"\bTBD\b", r"\bFIXME\b", r"fill this in", r"\bXXX\b", r"\bunknown\b", r"lorem ipsum"]
+# What is masked in free text, and the mark.
+MASKED = [r"(?i)(bearer\s+)[A-Za-z0-9._\-]+", r"(?i)(postgres(?:ql)?://)[^@\s]+(?=@)"]
+MARK = "***REDACTED***"
 
 
 def blank_to_null(c: Column) -> Column:
@@ -124,8 +127,9 @@ def payload_hash(payload: Column) -> Column:
 
 def redact(text: Column) -> Column:
     """Bearer tokens and credentials in database addresses masked."""
-    masked = F.regexp_replace(text, r"(?i)(bearer\s+)[A-Za-z0-9._\-]+", "$1***REDACTED***")
-    return F.regexp_replace(masked, r"(?i)(postgres(?:ql)?://)[^@\s]+@", "$1***REDACTED***@")
+    for pattern in MASKED:
+        text = F.regexp_replace(text, pattern, f"$1{MARK}")
+    return text
 
 
 def placeholders(text: Column) -> Column:

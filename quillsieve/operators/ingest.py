@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 from quillsieve.functions import exprs as X
 from quillsieve.plans.contracts import DATE_FIELDS, ID_FIELDS, REQUIRED_SCALAR, REQUIRED_TEXT, table_of
 
+# The form of a date or a date with time, and the reason codes of quarantined and of rejected records.
 DATE_SHAPE = r"^\d{4}-\d{2}-\d{2}([T ].*)?\z"
+NOT_OBJECT, MISSING_FIELD, WRONG_TYPE, BAD_IDENTIFIER, BAD_DATE = "record_not_object", "missing_required_field", "invalid_required_type", "invalid_identifier", "invalid_date_format"
+REJECT_NOT_OBJECT, REJECT_NO_ID, REJECT_NO_STAMP, REJECT_BAD_STAMP = "not_an_object", "missing_source_id", "missing_source_timestamp", "invalid_source_timestamp"
 #: States that a run may go to from each state, by kind of run; a state without successors is left never.
 TRANSITIONS = {"files": {"running": ["succeeded", "failed", "skipped"]}, "objects": {"running": ["published", "failed"], "published": ["loading", "failed"], "loading": ["committed", "failed"]}}
 
@@ -21,12 +24,12 @@ def quarantine_reason(endpoint: str, payload: Column) -> Column:
 
     def judged(p: Column) -> Column:
         kind = lambda k: F.coalesce(X.json_kind(p[k]), F.lit("null"))
-        out = F.when(kind("whole") != "object", rule("record_not_object", None))
+        out = F.when(kind("whole") != "object", rule(NOT_OBJECT, None))
         for f, kinds in required:
-            out = out.when(kind(f) == "null", rule("missing_required_field", f)).when(~kind(f).isin(kinds), rule("invalid_required_type", f))
-            out = out.when((kind(f) == "string") & X.strip(p[f]["text"]).isNull(), rule("invalid_identifier", f))
+            out = out.when(kind(f) == "null", rule(MISSING_FIELD, f)).when(~kind(f).isin(kinds), rule(WRONG_TYPE, f))
+            out = out.when((kind(f) == "string") & X.strip(p[f]["text"]).isNull(), rule(BAD_IDENTIFIER, f))
         for f in DATE_FIELDS[table]:
-            out = out.when((kind(f) != "null") & ((kind(f) != "string") | ~p[f]["text"].rlike(DATE_SHAPE)), rule("invalid_date_format", f))
+            out = out.when((kind(f) != "null") & ((kind(f) != "string") | ~p[f]["text"].rlike(DATE_SHAPE)), rule(BAD_DATE, f))
         return out
 
     fields = [f for f, _ in required] + DATE_FIELDS[table]
@@ -54,10 +57,10 @@ def classified(records: DataFrame, endpoint: str, payload: str = "payload") -> D
 
     def judged(p: Column) -> Column:
         reason = (
-            F.when(~p["is_object"], "not_an_object")
-            .when(p["id"].isNull(), "missing_source_id")
-            .when(p["no_stamp"], "missing_source_timestamp")
-            .when(p["stamp"].isNull(), "invalid_source_timestamp")
+            F.when(~p["is_object"], REJECT_NOT_OBJECT)
+            .when(p["id"].isNull(), REJECT_NO_ID)
+            .when(p["no_stamp"], REJECT_NO_STAMP)
+            .when(p["stamp"].isNull(), REJECT_BAD_STAMP)
         )
         return F.struct(p["id"].alias("_source_record_id"), p["stamp"].alias("_source_updated_at"), reason.alias("reject_reason"))
 

@@ -11,10 +11,13 @@ from quillsieve.functions import exprs as X
 
 DIAGNOSES = ["diag_cd_1", "diag_cd_2", "diag_cd_3"]
 PROCEDURES = [("proc_cd_1", "proc_dt_1"), ("proc_cd_2", "proc_dt_2")]
-# Status codes of a claim, its types, and the least share of resolved members.
+# Status codes of a claim, its types, the least share of resolved members, and the type of codes without one.
 ORIGINAL, ADJUSTMENT, VOID = "1", "7", "8"
 CLAIM_TYPES = ["institutional", "professional", "undetermined"]
 LEAST_COVERAGE = 0.90
+NO_CODE_TYPE = "UNKNOWN_CODE_TYPE"
+# Documented codes of vendor columns.
+CODES = {"clm_status_code": ["1", "7", "8"], "claim_form_code": ["UB04", "CMS1500"], "diag_type": ["ICD-10-CM", "ICD-9-CM"], "proc_type": ["ICD-10-PCS", "HCPCS", "CPT"]}
 PARTITION = ["person_id", "payer", "plan", "coverage_type"]
 
 
@@ -75,7 +78,7 @@ def accepted(rows: DataFrame, members: DataFrame) -> DataFrame:
 def diagnoses(lines: DataFrame) -> DataFrame:
     """One row per different code of a line in source order; the first is primary."""
     codes = F.array_distinct(F.array_compact(F.array(*[X.strip(F.col(c)) for c in DIAGNOSES])))
-    out = lines.select("claim_id", "line_no", F.coalesce("diag_type", F.lit("UNKNOWN_CODE_TYPE")).alias("code_type"), F.posexplode(codes).alias("pos", "code"))
+    out = lines.select("claim_id", "line_no", F.coalesce("diag_type", F.lit(NO_CODE_TYPE)).alias("code_type"), F.posexplode(codes).alias("pos", "code"))
     return out.select("claim_id", "line_no", (F.col("pos") + 1).alias("sequence"), "code_type", "code", (F.col("pos") == 0).alias("is_primary"))
 
 
@@ -83,7 +86,7 @@ def procedures(lines: DataFrame) -> DataFrame:
     """One row per different code of a line in source order, with the date of its first occurrence."""
     codes = F.array(*[X.strip(F.col(c)) for c, _ in PROCEDURES])
     dates = F.array(*[X.safe_date(X.strip(F.col(d))) for _, d in PROCEDURES])
-    listed = lines.select("claim_id", "line_no", F.coalesce("proc_type", F.lit("UNKNOWN_CODE_TYPE")).alias("code_type"), codes.alias("codes"), dates.alias("dates"))
+    listed = lines.select("claim_id", "line_no", F.coalesce("proc_type", F.lit(NO_CODE_TYPE)).alias("code_type"), codes.alias("codes"), dates.alias("dates"))
     out = listed.select("claim_id", "line_no", "code_type", "codes", "dates", F.posexplode(F.array_distinct(F.array_compact("codes"))).alias("pos", "code"))
     return out.select("claim_id", "line_no", (F.col("pos") + 1).alias("sequence"), "code_type", "code", F.element_at("dates", F.array_position("codes", F.col("code")).cast("int")).alias("code_date"))
 
@@ -121,6 +124,14 @@ def unexpected_types(lines: DataFrame, column: str, known: list[str]) -> DataFra
     return lines.select(F.col(column).alias("value")).where("value IS NOT NULL").distinct().where(~F.col("value").isin(known))
 
 
+def code_checks(rows: DataFrame) -> DataFrame:
+    """rule, violations: codes outside the documented ones, and diagnoses without a code system."""
+    rules = {c: X.strip(F.col(c)).isNotNull() & ~X.strip(F.col(c)).isin(known) for c, known in CODES.items()}
+    rules["diag_type_missing"] = X.strip(F.col("diag_type")).isNull() & F.coalesce(*[X.strip(F.col(c)) for c in DIAGNOSES]).isNotNull()
+    counts = rows.agg(*[F.count_if(broken).alias(name) for name, broken in rules.items()])
+    return counts.selectExpr(f"stack({len(rules)}, {', '.join(f"'{n}', {n}" for n in rules)}) AS (rule, violations)")
+
+
 def coverage(keys: list[DataFrame], members: DataFrame) -> DataFrame:
     """Of the different member keys of all frames, how many resolve, and whether the share is high enough."""
     wanted = reduce(DataFrame.union, [k.select(X.strip(F.col("member_key")).alias("member_key")).where("member_key IS NOT NULL") for k in keys]).distinct()

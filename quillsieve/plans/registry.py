@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillsieve.functions import exprs as X
-from quillsieve.operators import drift, ingest, mapping, quality, staging
+from quillsieve.operators import drift, hashes, ingest, mapping, quality, staging
 from quillsieve.plans.contracts import FINAL, GRAIN, STAGING
 from quillsieve.sources import feed
 from quillsieve.sources.feed import plain_sql, spark_frame
@@ -214,6 +214,13 @@ _UNSORTED = """SELECT o_orderkey, '{{"z":{{"b":"' || o_orderstatus || '","a":nul
 _SORTED = """SELECT o_orderkey, sha256('{{"a":"' || CAST(o_custkey AS STRING) || '","b":"' || o_orderpriority || '","z":{{"a":null,"b":"' || o_orderstatus || '"}}}}') AS hash FROM {orders}"""
 _add("payload_hash", lambda s, d: spark_frame(s, d, _UNSORTED).select("o_orderkey", X.payload_hash(F.col("payload")).alias("hash")), plain_sql(_SORTED))
 
+_EXACT = _SORTED.replace("sha256(", "").replace("}}}}') AS hash", "}}}}' AS hash")
+_add(
+    "record_fingerprint",
+    lambda s, d: hashes.exact_hashes(spark_frame(s, d, _UNSORTED)).select("o_orderkey", "payload_sha256", "record_sha256"),
+    f"""SELECT o_orderkey, sha256(text) AS payload_sha256, sha256(replace(replace(text, ',"', ', "'), '":', '": ')) AS record_sha256 FROM ({plain_sql(_EXACT).replace(' AS hash', ' AS text')}) x""",
+)
+
 # Projections.
 
 for _t in STAGING:
@@ -249,6 +256,8 @@ _add("fk_coverage", lambda s, d: mapping.coverage([_lines(s, d), spark_frame(s,
 _BAD_AMOUNTS = "SELECT claim_id, line_no, paid_amount, allowed_amount, charge_amount FROM lines WHERE NOT (abs(paid_amount) <= abs(allowed_amount) AND abs(allowed_amount) <= abs(charge_amount)) AND paid_amount IS NOT NULL AND allowed_amount IS NOT NULL AND charge_amount IS NOT NULL"
 _add("financial_reconciliation", lambda s, d: mapping.unreconciled(_lines(s, d).dropna(subset=["paid_amount", "allowed_amount", "charge_amount"])), f"WITH {_LINES} {_BAD_AMOUNTS}")
 _add("unexpected_claim_types", lambda s, d: mapping.unexpected_types(staging.staged(_raw(s, d, "medical_claim"), "medical_claim", DEFAULT_SOURCE), "claim_type", mapping.CLAIM_TYPES), f"SELECT DISTINCT {_field('claim_type')} AS value FROM ({plain_sql(feed.RAW['medical_claim'])}) r WHERE {_field('claim_type')} NOT IN ('institutional', 'professional', 'undetermined')")
+_BROKEN = {c: f"{_strip(c)} NOT IN ({', '.join(repr(k) for k in known)})" for c, known in mapping.CODES.items()} | {"diag_type_missing": f"{_strip('diag_type')} IS NULL AND coalesce({', '.join(_strip(c) for c in mapping.DIAGNOSES)}) IS NOT NULL"}
+_add("documented_codes", lambda s, d: mapping.code_checks(_claims(s, d)), f"WITH c AS ({_CLAIMS}) " + " UNION ALL ".join(f"SELECT '{n}' AS rule, count(*) FILTER (WHERE {b}) AS violations FROM c" for n, b in _BROKEN.items()))
 _add("eligibility_consolidation", _spans, f"WITH {_SPAN_CTES} SELECT * FROM spans")
 _OVERLAPS = f"SELECT {_P}, start_date, end_date, next_start, next_end FROM (SELECT *, lead(start_date) OVER w AS next_start, lead(end_date) OVER w AS next_end FROM {{0}} WHERE end_date IS NOT NULL WINDOW w AS (PARTITION BY {_P} ORDER BY start_date, end_date)) x WHERE next_start <= end_date"
 

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quillsieve.functions import exprs as X
-from quillsieve.operators import drift, ingest, mapping, quality, staging
+from quillsieve.operators import drift, hashes, ingest, mapping, quality, staging
 from quillsieve.plans.contracts import FINAL, STAGING, table_of
 
 
@@ -200,3 +200,14 @@ def test_generic_checks(spark):
     assert {r.column_name: r.violations for r in quality.not_null(df, ["x", "y"]).collect()} == {"x": 0, "y": 1}
     assert [(r.value, r.n) for r in quality.accepted_values(df, "x", ["a"]).collect()] == [("b", 2)]
     assert [(r.x, r.y, r.n) for r in quality.unique_combination(df, ["x", "y"]).collect()] == [("b", 1, 2)]
+
+
+def test_exact_hashes(spark):
+    import hashlib
+
+    texts = ['{"b": 1.50, "a": {"y": "é", "x": null}}', '{"a":{"x":null,"y":"é"},"b":1.5}', '{"a": 1e2}', "no json", None]
+    rows = hashes.exact_hashes(spark.createDataFrame([(t,) for t in texts], "payload string")).collect()
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    assert rows[0].payload_sha256 == rows[1].payload_sha256 == sha('{"a":{"x":null,"y":"é"},"b":1.5}')
+    assert rows[0].record_sha256 == sha('{"a": {"x": null, "y": "é"}, "b": 1.5}')
+    assert rows[2].payload_sha256 == sha('{"a":100.0}') and rows[3].payload_sha256 is None and rows[4].record_sha256 is None
