@@ -13,7 +13,7 @@ DIR, CPUS = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1"), os.environ.g
 HEADLINE = """raw_field_extract safe_numeric_cast source_record_id payload_hash stg_medical_claim input_medical_claim input_eligibility input_pharmacy_claim claims_accepted
 net_paid_amount normalize_diagnoses grain_conflicts fk_coverage eligibility_consolidation merge_insert_if_absent quarantine_by_reason latest_version_per_record
 load_reconciliation dq_not_null schema_observation readiness_gate""".split()
-RUNS = int(os.environ.get("BENCH_RUNS", "3"))
+RUNS = int(os.environ.get("BENCH_RUNS", "2"))
 
 
 def main() -> None:

@@ -195,10 +195,17 @@ FROM (SELECT c_custkey, {minutes} AS make_interval_minutes FROM {customer}) c
 """
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores, where its files give fewer splits than there are; large tables have many and stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def spark_frame(spark: SparkSession, sf_dir: str, sql: str, **more: DataFrame) -> DataFrame:
     """A feed as a DataFrame over the tables of ``sf_dir``."""
     names = [n for n in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events") if "{" + n + "}" in sql]
     tables = {n: spark.read.parquet(f"{sf_dir.rstrip('/')}/{n}.parquet") for n in names}
+    tables |= {n: spread(tables[n]) for n in ("lineitem", "orders", "events") if n in tables}
     return spark.sql(sql.replace("{minutes}", "make_dt_interval(0, 0, CAST(c_custkey AS INT))"), **tables, **more)
 
 
