@@ -24,6 +24,7 @@ def main() -> None:
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")  # methods beyond 8000 bytes of code are never compiled by the JVM
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
