@@ -30,7 +30,7 @@ EMAIL = r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Z
 IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"(?<![0-9])[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-BYTE = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
+BYTE = r"(?:0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9][0-9]?)|0++)"
 #: Generators: kind, pattern, and a cheaper pattern without which a text has no match.
 GENERATORS = [
     ("number", r"(?<![0-9A-Za-z])\(?[0-9](?:[\x20().-]{0,2}[0-9]){6,24}(?![0-9A-Za-z])", r"[0-9][\x20().-]{0,2}[0-9]"),

@@ -78,3 +78,12 @@ def test_query(spark):
         assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(s[1] == k for s in want) for k in range(4)]
         assert r.base_sha256 == hashlib.sha256(digest(want).encode()).hexdigest()
         assert all(x in r.spans.split(",") for x in digest(want).split(",") if x)
+
+
+def test_ip_parts_may_be_zero(spark, model):
+    rng = random.Random(12)
+    parts = ["0", "00", "000", "0000", "00255", "0256", "10", "100", "255", "256", "1", "99"]
+    texts = ["0.0.0.0", "10.0.0.1", "192.168.0.1", "255.255.255.0", "0.0.0.00", "000.0.0.256"] + [".".join(rng.choice(parts) for _ in range(rng.randrange(3, 9))) for _ in range(200)]
+    df = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")
+    for r in pii.scan(df, model).collect():
+        assert [(s["start"], s["rank"], s["end"], s["kind"]) for s in r.personal if s["rank"] < 4] == base(r.text), r.text
