@@ -31,10 +31,10 @@ IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"(?<![0-9])[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 BYTE = r"(?:0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9][0-9]?)|0++)"
-#: Generators: kind, pattern, and a cheaper pattern without which a text has no match.
+#: Generators: kind, pattern, and a cheaper pattern that every match of the first has in it.
 GENERATORS = [
     ("number", r"(?<![0-9A-Za-z])\(?[0-9](?:[\x20().-]{0,2}[0-9]){6,24}(?![0-9A-Za-z])", r"[0-9][\x20().-]{0,2}[0-9]"),
-    ("email_like", r"(?i)(?<![a-z0-9._%+-])[a-z0-9._%+-]{2,64}\x20?(?:@|[(\[]at[)\]]|\x20at\x20)\x20?[a-z0-9-]{2,63}(?:\x20?(?:\.|[(\[]dot[)\]]|\x20dot\x20)\x20?[a-z]{2,24}){1,4}", r"(?i)\x20?[(\[]at[)\]]|\x20dot\x20"),
+    ("email_like", r"(?i)(?<![a-z0-9._%+-])[a-z0-9._%+-]{2,64}\x20?(?:@|[(\[]at[)\]]|\x20at\x20)\x20?[a-z0-9-]{2,63}(?:\x20?(?:\.|[(\[]dot[)\]]|\x20dot\x20)\x20?[a-z]{2,24}){1,4}", r"(?i)(?:@|[(\[]at[)\]]|\x20at\x20)\x20?[a-z0-9-]{2,63}\x20?(?:\.|[(\[]dot[)\]]|\x20dot\x20)\x20?[a-z]{2}"),
     ("account", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])", r"[A-Z]{2}[0-9]{2}"),
     ("hardware", r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){5,7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])", r"[0-9A-Fa-f]:[0-9A-Fa-f]"),
 ]

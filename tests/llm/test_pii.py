@@ -87,3 +87,19 @@ def test_ip_parts_may_be_zero(spark, model):
     df = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")
     for r in pii.scan(df, model).collect():
         assert [(s["start"], s["rank"], s["end"], s["kind"]) for s in r.personal if s["rank"] < 4] == base(r.text), r.text
+
+
+def test_prefilters_pass_every_candidate(spark, model):
+    rng = random.Random(13)
+    pieces = ["jane", "ab", "x1", "@", " ", " at ", "(at)", "[AT]", ".", " dot ", "(dot)", "[Dot]", "com", "12", "3-4", "(555)", "DE44", "5001", "a1:", "B2:", "ff", "é"]
+    texts = ["jane at example.com", "jane@example[dot]com", "jane at example[dot]com", "jane @ example . com"] + ["".join(rng.choice(pieces) for _ in range(rng.randrange(3, 30))) for _ in range(3000)]
+    texts += ["".join(rng.choice(["a1:", "B2:", "f:", "0", " "]) for _ in range(12)) for _ in range(500)]
+    df = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")
+    for i, (kind, pattern, needed) in enumerate(pii.GENERATORS):
+        matched = df.where(pii.F.col("text").rlike(pattern))
+        assert matched.count() > 2 and matched.where(~pii.F.col("text").rlike(needed)).count() == 0, kind
+        if kind == "email_like":
+            made = df.where("doc_id < 4").select(pii.F.size(pii._made(pii.F.col("text"), i, pattern, needed)).alias("n")).collect()
+            assert all(r.n == 1 for r in made), made
+    found = pii.scan(df.where("doc_id IN (1, 2)"), model).collect()
+    assert all([s["token"] for s in r.personal] == [r.text] for r in found), found
