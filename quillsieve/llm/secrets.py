@@ -28,7 +28,7 @@ BASE = {
 #: Character classes: pattern of a candidate, alphabet, window, threshold in bits.
 CLASSES = {
     "hex": (r"(?<![A-Za-z0-9])[0-9A-Fa-f]{20,}+(?![A-Za-z0-9])", "0123456789abcdef", 20, 2.8),
-    "base64": (r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{20,}+", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-", 20, 3.9),
+    "base64": (r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-", 20, 3.9),
 }
 #: Candidates that are no secrets: runs and sequences, paths, UUIDs, and words joined by hyphens or underscores.
 ALLOW = [

@@ -78,3 +78,12 @@ def test_query(spark):
         assert [r.n_assign, r.n_access, r.n_hex] == [sum(s[1] == k for s in want) for k in range(3)]
         assert r.base_sha256 == hashlib.sha256(digest(want).encode()).hexdigest()
         assert digest([s for s in want]) in r.spans or all(x in r.spans for x in digest(want).split(","))
+
+
+def test_values_after_an_equals_sign_are_candidates(spark):
+    key = "wJalrXUtnF3MI/K7MDENGbPxRfiCYzB1q"
+    texts = [f"AWS_KEY={key}", f'NAME="{key}" x', f"https://host/a?x={key}&y=1", f"Server=db;SharedKey={key};", f"key: {key}", f"a=={key}=="]
+    df = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")
+    found = {r.doc_id: [s["token"] for s in r.secrets if s["kind"] == "entropy"] for r in scan(df).collect()}
+    assert found == dict.fromkeys(range(len(texts)), [key])
+    assert {r.doc_id: r.text for r in redact(scan(df)).collect()} == {i: t.replace(key, "[SECRET]") for i, t in enumerate(texts)}
