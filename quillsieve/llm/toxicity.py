@@ -9,8 +9,9 @@ character, over the whole text and over every window of 16 characters. A logisti
 that its counts have not seen, turns the whole text's mean, the highest window and the mean of the eight highest into
 a score; then the counts take in those rows too.
 
-Learning takes at most ``SAMPLE`` labelled rows of a class, those whose id hashes lowest. If their 6-grams are more than
-``MOST_GRAMS``, the rarest are left to the shared backoff. All texts are scored whole.
+Learning takes every labelled row, so the calibration sees the classes in their own shares and a score means the same at
+every size. If the 6-grams are more than ``MOST_GRAMS``, the rarest are left to the shared backoff. All texts are scored
+whole.
 
 Defined cases: a null text is an empty text, and an empty text has mean 0. Labels that are null are no labels; an id
 with several labels is toxic if one says so. If the labelled rows lack a class, every score is the toxic share of them
@@ -29,10 +30,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quillsieve.llm import chars
-from quillsieve.llm.common import crc_fold, free_name, lowest_hashes, table, written
+from quillsieve.llm.common import crc_fold, free_name, table, written
 
-#: Labelled rows of a class that learning takes at most, and 6-grams that are kept at most.
-SAMPLE, MOST_GRAMS = 60_000, 2_000_000
+#: 6-grams that are kept at most.
+MOST_GRAMS = 2_000_000
 ORDER, WINDOW, STEP, TOP = 6, 16, 4, 8
 #: Of the learning rows, every this many-th fits the calibration and not the counts.
 HELD = 4
@@ -183,11 +184,10 @@ def _calibrated(model: Model, features: np.ndarray, label: np.ndarray) -> Model:
 
 
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model | float:
-    """The model, or the constant score where the labelled rows lack a class. ``learn`` selects rows by ``labels``' ids."""
+    """The model, or the constant score where the labelled rows lack a class. ``learn`` selects rows of ``labels`` and ``docs`` by their ids."""
     named = labels.where(learn & F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg((F.max(label_col) >= 1).cast("int").alias("toxic"))
-    chosen = lowest_hashes(named, "toxic", F.xxhash64(F.col("id").cast("string")), SAMPLE)
-    # at most two classes of SAMPLE ids, which every task can hold
-    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).join(F.broadcast(chosen.select("id", "toxic")), "id")
+    # the labelled ids grow with the input, so they are joined by shuffle at every size; rows not for learning stay out of it
+    rows = written(docs.where(learn).select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).join(named.hint("shuffle_hash"), "id"), "labelled")
     fold = F.pmod(F.floor(F.crc32(F.col("id").cast("string").cast("binary")) / 3), F.lit(HELD))
     counted = rows.select("text", "toxic", (fold == 0).alias("held")).mapInArrow(_count, "gram long, " + ", ".join(f"{c} long" for c in _COUNTS))
     grams = written(counted.groupBy("gram").agg(*[F.sum(c).cast("int").alias(c) for c in _COUNTS]), "grams")

@@ -101,3 +101,14 @@ def test_one_class_or_no_labels(spark, corpus, odd_documents, folder):
     assert only == 0.0 and X.fit(docs, labels.limit(0), F.lit(True)) == 0.0
     rows = X.op1_toxicity(spark, folder(documents=odd_documents, labels=labels.limit(0))).collect()
     assert len(rows) == 9 and all(r.score == 0 and r.predicted == 0 for r in rows)
+
+
+def test_calibration_sees_every_held_row_at_its_own_share(spark, corpus, monkeypatch):
+    """A cap on the rows of a class, which once was there, would change the classes' shares."""
+    docs, labels = corpus
+    seen = []
+    monkeypatch.setattr(X, "SAMPLE", 100, raising=False)
+    monkeypatch.setattr(X, "_calibrated", lambda model, features, label, f=X._calibrated: seen.append(label) or f(model, features, label))
+    X.fit(docs, labels, F.lit(True))
+    held = [i for i in range(900) if zlib.crc32(str(i).encode()) // 3 % X.HELD == 0]
+    assert len(seen[0]) == len(held) and seen[0].sum() == sum(i % 5 == 0 for i in held)
