@@ -10,8 +10,8 @@ that its counts have not seen, turns the whole text's mean, the highest window a
 a score; then the counts take in those rows too.
 
 Learning takes every labelled row, so the calibration sees the classes in their own shares and a score means the same at
-every size. If the 6-grams are more than ``MOST_GRAMS``, the rarest are left to the shared backoff. All texts are scored
-whole.
+every size. It keeps every 6-gram, however rare. The counts are summed in Spark; the smoothed tables are made on the driver
+and sent to every task, so the distinct 6-grams have to fit there. All texts are scored whole.
 
 Defined cases: a null text is an empty text, and an empty text has mean 0. Labels that are null are no labels; an id
 with several labels is toxic if one says so. If the labelled rows lack a class, every score is the toxic share of them
@@ -32,8 +32,6 @@ from pyspark.sql import types as T
 from quillsieve.llm import chars
 from quillsieve.llm.common import crc_fold, free_name, table, written
 
-#: 6-grams that are kept at most.
-MOST_GRAMS = 2_000_000
 ORDER, WINDOW, STEP, TOP = 6, 16, 4, 8
 #: Of the learning rows, every this many-th fits the calibration and not the counts.
 HELD = 4
@@ -190,14 +188,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id
     rows = written(docs.where(learn).select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).join(named.hint("shuffle_hash"), "id"), "labelled")
     fold = F.pmod(F.floor(F.crc32(F.col("id").cast("string").cast("binary")) / 3), F.lit(HELD))
     counted = rows.select("text", "toxic", (fold == 0).alias("held")).mapInArrow(_count, "gram long, " + ", ".join(f"{c} long" for c in _COUNTS))
-    grams = written(counted.groupBy("gram").agg(*[F.sum(c).cast("int").alias(c) for c in _COUNTS]), "grams")
-    total = F.col("toxic") + F.col("ordinary") + F.col("toxic_held") + F.col("ordinary_held")
-    times = {r["n"]: r["count"] for r in grams.groupBy(F.least(total, F.lit(1000)).alias("n")).count().collect()}
-    cut, kept = 1, sum(times.values())
-    while kept > MOST_GRAMS and cut < 1000:
-        kept -= times.get(cut, 0)
-        cut += 1
-    got = grams.where(total >= cut).toArrow()
+    got = counted.groupBy("gram").agg(*[F.sum(c).alias(c) for c in _COUNTS]).toArrow()
     keys, counts = got["gram"].to_numpy(), np.stack([got[c].to_numpy() for c in _COUNTS])
     del got
     order = np.argsort(keys)
@@ -215,7 +206,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id
 
 def _applied(df: DataFrame, model: Model, text: str, keep: list[str]) -> DataFrame:
     """The columns ``keep`` with the features and the score of every text."""
-    sent = df.sparkSession.sparkContext.broadcast(model)  # MOST_GRAMS entries of 12 bytes, twice that in open tables
+    sent = df.sparkSession.sparkContext.broadcast(model)  # an entry of 12 bytes for each 6-gram and context, two to four times that in open tables
     names = ["mean", "high", "highs", "length", "score"]
     schema = T.StructType([df.schema[c] for c in keep] + [T.StructField(c, T.DoubleType(), False) for c in names])
 

@@ -112,3 +112,12 @@ def test_calibration_sees_every_held_row_at_its_own_share(spark, corpus, monkeyp
     X.fit(docs, labels, F.lit(True))
     held = [i for i in range(900) if zlib.crc32(str(i).encode()) // 3 % X.HELD == 0]
     assert len(seen[0]) == len(held) and seen[0].sum() == sum(i % 5 == 0 for i in held)
+
+
+def test_rare_grams_stay_in_the_model(spark, corpus, monkeypatch):
+    """A bound on the grams, which once was there, would drop those seen once first."""
+    docs, labels = corpus
+    monkeypatch.setattr(X, "MOST_GRAMS", 100, raising=False)
+    model = X.fit(docs, labels, F.lit(True))
+    keys = np.unique(X._grams([r.text for r in docs.collect()])[0])
+    assert len(keys) > 1000 and not len(model.seen.get(keys)[1]) and not len(model.novel.get(np.unique(keys >> np.int64(10)))[1])
