@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 from quillsieve.llm import chars
 from quillsieve.llm.common import crc_fold, free_name, table, written
 
-ORDER, WINDOW, STEP, TOP = 6, 16, 4, 8
+ORDER, WINDOW, TOP = 6, 16, 8
 #: Of the learning rows, every this many-th fits the calibration and not the counts.
 HELD = 4
 THRESHOLD = 0.7
@@ -102,7 +102,7 @@ class Model:
             if n:
                 own = total[end - n : end + 1]
                 width = min(n, WINDOW)
-                windows = (own[width:] - own[:-width])[:: STEP if n > WINDOW else 1] / WINDOW
+                windows = (own[width:] - own[:-width]) / WINDOW
                 top = windows if len(windows) <= TOP else np.partition(windows, len(windows) - TOP)[-TOP:]
                 out[i] = (own[-1] - own[0]) / n, top.max(), top.mean(), np.log1p(n)
         return out

@@ -121,3 +121,18 @@ def test_rare_grams_stay_in_the_model(spark, corpus, monkeypatch):
     model = X.fit(docs, labels, F.lit(True))
     keys = np.unique(X._grams([r.text for r in docs.collect()])[0])
     assert len(keys) > 1000 and not len(model.seen.get(keys)[1]) and not len(model.novel.get(np.unique(keys >> np.int64(10)))[1])
+
+
+def test_every_window_counts():
+    """The highest windows, by brute force, with the expression at every place of the text and at its end."""
+    words = ["grumpfis", "balinko", "tunmela", "sako"]
+    types = np.unique(X._grams(words)[0])
+    bad = np.isin(types, X._grams(words[:1])[0]) * 5.0
+    model = X.kneser_ney(types, np.stack([bad, 5.0 - bad]))
+    texts = ["x" * i + " grumpfis" + " sako" * j for i in range(9, 20) for j in range(4)]
+    for text, got in zip(texts, model.features(texts), strict=True):
+        keys, _ = X._grams([text])
+        ratio, missing = model.seen.get(keys)
+        ratio[missing] = model.novel.get(keys[missing] >> np.int64(10))[0]
+        windows = sorted(ratio[i : i + 16].sum() / 16 for i in range(len(text) - 15))
+        assert abs(got[1] - windows[-1]) < 1e-5 and abs(got[2] - np.mean(windows[-8:])) < 1e-5, text
