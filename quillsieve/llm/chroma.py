@@ -3,8 +3,8 @@
 Audio is 16-bit little-endian PCM, one channel. Windowed spectra are folded into twelve pitch classes a frame. On the
 integral image of those frames, sixteen filters compare sums of rectangles at every place; each answer becomes two bits
 in Gray code, so a place gives one packed 32-bit integer. Two recordings align where many of their equal integers lie
-the same number of frames apart: a histogram of those offsets proposes one, and the share of differing bits along the
-overlap accepts it.
+the same number of frames apart: a histogram of those offsets proposes some, the most voted first, and the share of
+differing bits along the overlap accepts one.
 
 Recordings with equal fingerprints form a class, and a search compares queries with one recording of each class, in
 blocks of queries against blocks of recordings.
@@ -22,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -127,8 +127,11 @@ def _blocks(rows: int):
 _ones = np.array([bin(i).count("1") for i in range(256)], dtype=np.int64)
 
 
-def best_offset(query: np.ndarray, order: np.ndarray, values: np.ndarray, owner: np.ndarray, place: np.ndarray) -> list[tuple[int, int, int]]:
-    """(recording, offset, votes) of the most voted offset with each recording; ``values`` are all codes in order."""
+def offsets(query: np.ndarray, order: np.ndarray, values: np.ndarray, owner: np.ndarray, place: np.ndarray) -> list[tuple[int, int, int]]:
+    """(recording, offset, votes) of every offset with ``LEAST_VOTES``, by recording and the most voted first.
+
+    ``values`` are all codes in order.
+    """
     low, high = np.searchsorted(values, query, "left"), np.searchsorted(values, query, "right")
     times = high - low
     if not times.sum():
@@ -138,9 +141,15 @@ def best_offset(query: np.ndarray, order: np.ndarray, values: np.ndarray, owner:
     span = np.int64(1 << 31)
     keys, votes = np.unique(owner[at] * (2 * span) + (place[at] - which + span), return_counts=True)
     rec, offset = keys // (2 * span), keys % (2 * span) - span
-    best = np.lexsort((offset, -votes, rec))
-    first = best[np.concatenate([[True], rec[best][1:] != rec[best][:-1]])]
-    return [(int(rec[i]), int(offset[i]), int(votes[i])) for i in first if votes[i] >= LEAST_VOTES]
+    some = np.nonzero(votes >= LEAST_VOTES)[0]
+    best = some[np.lexsort((offset[some], -votes[some], rec[some]))]
+    return list(zip(rec[best].tolist(), offset[best].tolist(), votes[best].tolist(), strict=True))
+
+
+def best_offset(query: np.ndarray, order: np.ndarray, values: np.ndarray, owner: np.ndarray, place: np.ndarray) -> list[tuple[int, int, int]]:
+    """The first of ``offsets`` with each recording."""
+    found = offsets(query, order, values, owner, place)
+    return [x for i, x in enumerate(found) if not i or found[i - 1][0] != x[0]]
 
 
 def bit_error(a: np.ndarray, b: np.ndarray, offset: int) -> tuple[float, int]:
@@ -165,17 +174,24 @@ def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for q, n in zip(r["q_ids"], r["q_sizes"], strict=True):
                 query = np.frombuffer(r["q_codes"], "<u4", n, 4 * at)
                 at += n
-                for rec, offset, votes in best_offset(query, order, values, owner, place):
+                done = -1
+                for rec, offset, votes in offsets(query, order, values, owner, place):
+                    if rec == done:
+                        continue
                     error, overlap = bit_error(query, codes[starts[rec] : starts[rec] + sizes[rec]], offset)
                     if error <= MOST_ERROR and overlap >= min(LEAST_OVERLAP, n):
                         out.append((q, ids[rec], offset, votes, overlap, error))
+                        done = rec
             columns = list(zip(*out, strict=True)) or [()] * 6
             kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.float64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["query_id", "id", "offset", "votes", "overlap", "bit_error"])
 
 
 def align(queries: DataFrame, recordings: DataFrame) -> DataFrame:
-    """All accepted alignments of ``queries`` with ``recordings`` (both id, codes): the offset is of the query's start."""
+    """Every pair of ``queries`` and ``recordings`` (both id, codes) with an accepted alignment, the most voted of these.
+
+    The offset is of the query's start.
+    """
     some = lambda df: df.where("id IS NOT NULL AND octet_length(codes) > 0").select(F.col("id").cast("long").alias("id"), "codes")
     layout = "lane int, ids array<bigint>, sizes array<int>, codes binary"
     recordings, queries = some(recordings), some(queries)
@@ -220,7 +236,8 @@ def recorded(df: DataFrame, clip: bool = False) -> DataFrame:
 
 def op2_chroma(spark, sf_dir: str) -> DataFrame:
     """Fingerprint and class of the recording of every row of ``embeddings``; for rows whose vec_id is divisible by 50,
-    also where a noisy clip of it is found among all recordings (the best match; offsets in frames).
+    also where a noisy clip of it is found among all recordings (offsets in frames): the best match, and in ``matches``
+    every class with an accepted alignment, the best first.
 
     The test tables hold no audio, so each vector is played as a melody, which is the media column here.
     """
@@ -230,8 +247,10 @@ def op2_chroma(spark, sf_dir: str) -> DataFrame:
     groups = written(groups, "classes")
     clips = fingerprint(recorded(rows.where(F.col("id") % 50 == 0).dropDuplicates(["id"]), clip=True), drop_audio=True).select("id", "codes")
     found = align(clips, groups.select(F.col("class_id").alias("id"), "codes"))
-    best = Window.partitionBy("query_id").orderBy(F.col("votes").desc(), "bit_error", "id")
-    first = found.withColumn("place", F.row_number().over(best)).where("place = 1").select(F.col("query_id").alias("id"), F.col("id").alias("match_class"), "offset", "votes", "overlap", "bit_error")
+    each = F.struct((-F.col("votes")).alias("order"), "bit_error", F.col("id").alias("match_class"), "offset", "votes", "overlap")
+    fields = ["match_class", "offset", "votes", "overlap", "bit_error"]
+    matches = F.transform(F.array_sort(F.collect_list(each)), lambda m: F.struct(*[m[c].alias(c) for c in fields]))
+    first = found.groupBy(F.col("query_id").alias("id")).agg(matches.alias("matches")).select("id", *[F.col("matches")[0][c].alias(c) for c in fields], "matches")
     named = prints.select("id", "n_frames", (F.octet_length("codes") / 4).cast("int").alias("n_codes"), F.sha2("codes", 256).alias("codes_sha256"), "key")
     out = named.join(groups.select("key", "class_id", "n_copies"), "key", "left").drop("key").join(first, "id", "left")
     return out.withColumnRenamed("id", "vec_id")

@@ -68,3 +68,33 @@ def test_odd_audio(spark, folder):
 
 def test_empty_table(spark, folder):
     assert C.op2_chroma(spark, folder(embeddings=spark.createDataFrame([], "vec_id long, embedding array<float>, label int"))).count() == 0
+
+
+def test_every_class_that_aligns_is_returned(spark, folder):
+    rng = np.random.default_rng(5)
+    whole = rng.normal(size=64)
+    near = whole.copy()
+    near[60:] = rng.normal(size=4)  # the same passage, and another end
+    other = rng.normal(size=64)
+    vectors = [(0, whole.tolist(), 0), (1, near.tolist(), 0), (2, other.tolist(), 0), (3, whole.tolist(), 0)]
+    rows = {r.vec_id: r for r in C.op2_chroma(spark, folder(embeddings=spark.createDataFrame(vectors, "vec_id long, embedding array<double>, label int"))).collect()}
+    assert {0, 1} <= {m.match_class for m in rows[0].matches} and 3 not in {m.match_class for m in rows[0].matches}
+    best = rows[0].matches[0]
+    assert (best.match_class, best.offset, best.votes, best.bit_error) == (rows[0].match_class, rows[0].offset, rows[0].votes, rows[0].bit_error)
+    assert all(rows[i].matches is None for i in (1, 2, 3))
+
+
+def test_next_offset_is_tried(spark):
+    """The most voted offset of a pair fails the bit-error test, and the next one passes."""
+    rng = np.random.default_rng(6)
+    query = rng.integers(0, 2**32, 40).astype("<u4")
+    query[:10] = 7
+    rec = rng.integers(0, 2**32, 200).astype("<u4")
+    rec[100:140] = query ^ np.uint32(1)
+    rec[105:110] = 7
+    rec[0:10] = 7
+    found = C.offsets(query, np.argsort(rec, kind="stable"), np.sort(rec), np.zeros(200, dtype=np.int64), np.arange(200))
+    assert found[0][1] == 0 and C.bit_error(query, rec, 0)[0] > C.MOST_ERROR
+    frame = lambda codes: spark.createDataFrame([(1, bytearray(codes.tobytes()))], "id long, codes binary")
+    got = [(r.offset, r.bit_error <= C.MOST_ERROR) for r in C.align(frame(query), frame(rec)).collect()]
+    assert got == [(100, True)]
