@@ -61,16 +61,16 @@ def free_name(df: DataFrame, name: str) -> str:
 
 
 
-def lowest_hashes(df: DataFrame, group: str, h: Column, most: int, groups: int = 1000) -> DataFrame:
-    """Of each of the ``groups`` largest groups of ``df``, the ``most`` rows of lowest hash ``h``, with their ``place``.
+def lowest_hashes(df: DataFrame, group: str, h: Column, most: int) -> DataFrame:
+    """Of each group of ``df``, the ``most`` rows of lowest hash ``h``, with their ``place``. Rows without a group go.
 
-    Counts give a bound on the hashes first, a little high, so that the window sees a bounded number of rows.
+    Counts give a bound on the hashes first, a little high, so that the window sees a bounded number of rows of a group.
+    The counts, a row a group, go to every task.
     """
-    counts = {r[0]: r[1] for r in df.where(F.col(group).isNotNull()).groupBy(group).count().orderBy(F.desc("count"), group).limit(groups).collect()}
-    if not counts:
-        return df.limit(0).withColumn("place", F.lit(0))
-    share = {k: (most + 8 * most**0.5) / n for k, n in counts.items()}
-    bound = F.create_map(*[x for k, v in share.items() for x in (F.lit(k), F.lit(2**63 - 1 if v >= 1 else int(-(2**63) + v * 2**64)))])
-    near = df.withColumn("hash_of_row", h).where(F.col("hash_of_row") <= bound[F.col(group)])
+    counts = df.where(F.col(group).isNotNull()).groupBy(F.col(group).alias("group_of_row")).agg(F.count(F.lit(1)).alias("rows_of_group"))
+    share = F.lit(most + 8 * most**0.5) / F.col("rows_of_group")
+    bound = F.when(share >= 1, F.lit(2**63 - 1)).otherwise((share * 2.0**64 - 2.0**63).cast("long"))
+    bounds = counts.select("group_of_row", bound.alias("bound_of_row"))
+    near = df.join(F.broadcast(bounds), F.col(group) == F.col("group_of_row")).withColumn("hash_of_row", h).where(F.col("hash_of_row") <= F.col("bound_of_row"))
     order = Window.partitionBy(group).orderBy("hash_of_row")
-    return near.withColumn("place", F.row_number().over(order)).where(F.col("place") <= most).drop("hash_of_row")
+    return near.withColumn("place", F.row_number().over(order)).where(F.col("place") <= most).drop("hash_of_row", "bound_of_row", "group_of_row")

@@ -6,8 +6,9 @@ feature map is its kernel row times K^(-1/2), and one-versus-rest ridge regressi
 language. As the kernel is an inner product, the kernel row times the fitted weights is the text's presence row times
 one fixed matrix, which batches of texts are multiplied with.
 
-Learning takes at most ``SAMPLE`` labelled rows of a language, ``LANDMARKS`` of them as landmarks, those whose id hashes
-lowest. All texts are scored whole.
+Learning takes every language that labels a row, of each at most ``SAMPLE`` labelled rows, ``LANDMARKS`` of them as
+landmarks, those whose id hashes lowest. They are held on the driver, whose memory has to grow with the languages. All
+texts are scored whole.
 
 Defined cases: a text that is null or has no letter gets ``und`` and score 0, as does every text if no row has a
 label. Repeated rows score alike. Ties go to the language that sorts first. An empty table gives an empty result.
@@ -27,8 +28,8 @@ from pyspark.sql import types as T
 from quillsieve.llm import chars
 from quillsieve.llm.common import crc_fold, free_name, lowest_hashes, table
 
-#: Labelled rows of a language that learning takes at most, the landmarks among them, and the languages at most.
-SAMPLE, LANDMARKS, MOST_LANGUAGES = 400, 48, 400
+#: Labelled rows of a language that learning takes at most, and the landmarks among them.
+SAMPLE, LANDMARKS = 400, 48
 #: Cells of the presence sets by n, ridge, and the scale of the margins in the softmax that gives the score.
 CELLS, RIDGE, SHARPNESS = (256, 4096, 8192, 8192), 0.05, 8.0
 #: Texts in a presence matrix.
@@ -68,7 +69,7 @@ def scaled(x: np.ndarray) -> np.ndarray:
 
 def _labelled(df: DataFrame, learn: Column, id_col: str, text_col: str, lang_col: str) -> DataFrame:
     rows = df.where(learn & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"), F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("id"))
-    return lowest_hashes(rows, "lang", F.xxhash64("id"), SAMPLE, MOST_LANGUAGES)
+    return lowest_hashes(rows, "lang", F.xxhash64("id"), SAMPLE)
 
 
 def _bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -38,3 +38,13 @@ def test_nothing_to_learn_from(spark, odd_documents):
     clash = odd_documents.withColumn("Score", F.lit(1)).withColumn("text_of_row", F.lit(""))
     assert L.predict(clash, L.fit(clash, F.lit(True))).columns == ["doc_id", "text", "lang", "source", "n_chars", "text_of_row", "lang_pred", "score"]
     assert L.predict(odd_documents.limit(0), none).count() == 0
+
+
+def test_every_language_is_learned(spark, monkeypatch):
+    """A bound on the languages, which once was there, would leave out those with the fewest rows."""
+    monkeypatch.setattr(L, "MOST_LANGUAGES", 3, raising=False)
+    rows = [(i * 10 + j, f"{chr(97 + i) * 3}{chr(98 + i) * 2} word{chr(97 + i)}", f"l{i}") for i in range(6) for j in range(6 - i)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = L.fit(docs, F.lit(True))
+    assert model[0] == [f"l{i}" for i in range(6)]
+    assert all(r.lang_pred == r.lang for r in L.predict(docs, model).collect())
