@@ -85,11 +85,27 @@ def let(values: dict[str, Column], body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(F.struct(*[v.alias(k) for k, v in values.items()])), body), 1)
 
 
+def parsed(payload: Column, fields: dict[str, str | None], body: Callable[[Column, Column], Column]) -> Column:
+    """``body`` over probes of the document (key None) or its top-level fields, and over the document; it is parsed once."""
+    probes = lambda d: {name: _probe(d["doc"], d["payload"], key) for name, key in fields.items()}
+    return let({"doc": F.try_parse_json(payload), "payload": payload}, lambda d: let(probes(d), lambda p: body(p, d["doc"])))
+
+
 def json_probe(payload: Column, key: str | None = None) -> Column:
-    """(kind, text) of a JSON document or of one of its top-level fields, for ``json_kind`` and ``id_part``."""
-    parsed = F.try_parse_json(payload)
-    kind = F.schema_of_variant(parsed if key is None else F.try_variant_get(parsed, f"$.{key}", "variant"))
-    return F.struct(kind.alias("kind"), (payload if key is None else F.get_json_object(payload, f"$.{key}")).alias("text"))
+    """(kind, text, digits) of a JSON document or of one of its top-level fields, for ``json_kind`` and ``id_part``."""
+    return let({"doc": F.try_parse_json(payload), "payload": payload}, lambda d: _probe(d["doc"], d["payload"], key))
+
+
+def _probe(doc: Column, payload: Column, key: str | None) -> Column:
+    if key is None:  # the first character tells the kind of a whole document, whatever its size
+        start = F.substring(F.ltrim(F.translate(F.substring(payload, 1, 64), "\t\n\r", "   ")), 1, 1)
+        start = F.when(start != "", start).otherwise(F.substring(F.regexp_replace(payload, r"^[ \t\n\r]+", ""), 1, 1))
+        kind = F.when(start == "{", "OBJECT").when(start == "[", "ARRAY").when(start == '"', "STRING").when(start.isin("t", "f"), "BOOLEAN").when(start == "n", "VOID").otherwise("BIGINT")
+        return F.struct(F.when(doc.isNotNull(), kind).alias("kind"), payload.alias("text"), F.lit(None).cast("string").alias("digits"))
+    kind = F.schema_of_variant(F.try_variant_get(doc, f"$.{key}", "variant"))
+    # a whole number of more than 38 digits is a double in a variant; its digits are in the document
+    digits = F.when(kind == "DOUBLE", F.get_json_object(payload, f"$.{key}"))
+    return F.struct(kind.alias("kind"), F.try_variant_get(doc, f"$.{key}", "string").alias("text"), digits.alias("digits"))
 
 
 def json_kind(probe: Column) -> Column:
@@ -106,27 +122,65 @@ def json_kind(probe: Column) -> Column:
     )
 
 
+def is_integer(probe: Column) -> Column:
+    """Whether a probe's field is a whole number written without fraction or exponent, of up to 38 digits."""
+    return probe["kind"].rlike(r"^(BIGINT|INT|SMALLINT|TINYINT)") | (probe["kind"].rlike(r"^DECIMAL\([0-9]+,0\)") & (F.length(probe["text"]) > 18))
+
+
 def id_part(probe: Column) -> Column:
-    """A probe's field as an identifier: text stripped, whole numbers as digits; all else NULL."""
+    """A probe's field as an identifier: text stripped, whole numbers as digits at any size; all else NULL.
+
+    A fraction of zeros is cut from a number and its digits are kept as written, so that no two different numbers share
+    an identifier. A number with an exponent is read as a double, and refused from 1e38 on.
+    """
     kind, text = probe["kind"], probe["text"]
     number = text.try_cast("double")
-    whole = F.when(kind.rlike("^(DOUBLE|FLOAT|DECIMAL)"), F.when(number == F.floor(number), number.cast("bigint").cast("string")))
-    return F.when(kind == "STRING", strip(text)).when(kind.rlike("^(BIGINT|INT|SMALLINT|TINYINT)"), text).otherwise(whole)
+    double = F.when(probe["digits"].rlike(INTEGER_FORM), probe["digits"]).when(number == F.floor(number), number.try_cast("decimal(38,0)").cast("string"))
+    return F.when(kind == "STRING", strip(text)).when(kind.rlike(r"^(BIGINT|INT|SMALLINT|TINYINT|DECIMAL\([0-9]+,0\))"), text).when(kind.rlike("^(DOUBLE|FLOAT)"), double)
+
+
+#: What nearly all time stamps look like, which one cast reads.
+COMMON_STAMP = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([T ][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]{1,6})?)?(Z|[+-][0-9]{2}:[0-9]{2})?)?\z"
+# A day, and a time with an offset, in the extended and the basic form of ISO-8601.
+ISO_DAY = r"^([0-9]{4})-?([0-9]{2})-?([0-9]{2})"
+ISO_FORM = r"^(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{8})(?:[^0-9]([0-9]{2})(?::?([0-9]{2})(?::?([0-9]{2})(?:[.,]([0-9]+))?)?)?(?:Z|([+-])([0-9]{2})(?::?([0-9]{2})(?::?([0-9]{2}))?)?)?)?\z"
 
 
 def updated_at(text: Column) -> Column:
-    """An ISO-8601 text as a UTC timestamp (session time zone UTC); without an offset it is UTC already."""
-    clean = strip(text)
-    return F.when(clean.rlike(r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?(Z|[+-]\d{2}:\d{2})?)?\z"), clean.try_cast("timestamp"))
+    """An ISO-8601 text as a UTC timestamp (session time zone UTC); without an offset it is UTC already.
+
+    Extended (``2024-01-02T03:04:05.6+07:00``) and basic (``20240102T030405``) forms, with any one separator between day
+    and time, times of hours only up to fractions, and offsets of hours up to seconds. Fractions are cut at microseconds.
+    Week dates are not read: they give NULL, as does every text that is no such day or time.
+    """
+    part = lambda c, i: F.regexp_extract(c, ISO_FORM, i)
+    day = lambda c: F.regexp_replace(F.regexp_extract(c, ISO_DAY, 0), ISO_DAY, "$1-$2-$3")
+    number = lambda c, i: F.coalesce(F.nullif(part(c, i), F.lit("")).try_cast("int"), F.lit(0))
+
+    def read(v: Column) -> Column:
+        c = v["c"]
+        time = F.concat_ws(":", *[F.lpad(number(c, i).cast("string"), 2, "0") for i in (1, 2, 3)])
+        local = F.concat(day(c), F.lit(" "), time, F.lit("."), F.rpad(F.substring(part(c, 4), 1, 6), 6, "0"))
+        shift = F.when(part(c, 5) == "-", -1).otherwise(1) * (number(c, 6) * 3600 + number(c, 7) * 60 + number(c, 8))
+        usual = (number(c, 6) < 24) & (number(c, 7) < 60) & (number(c, 8) < 60)
+        return F.when(usual, F.timestamp_micros(F.unix_micros(local.try_cast("timestamp")) - shift.cast("long") * 1_000_000))
+
+    return let({"c": strip(text)}, lambda v: F.when(v["c"].rlike(COMMON_STAMP), v["c"].try_cast("timestamp")).when(v["c"].rlike(ISO_FORM), read(v)))
+
+
+def document_hash(doc: Column) -> Column:
+    """SHA-256 of a parsed document with keys sorted at all depths and no white space (numbers in their shortest form)."""
+    return F.sha2(F.to_json(doc), 256)
 
 
 def payload_hash(payload: Column) -> Column:
-    """SHA-256 of the payload with keys sorted at all depths and no white space (numbers in their shortest form)."""
-    return F.sha2(F.to_json(F.try_parse_json(payload)), 256)
+    """``document_hash`` of a JSON text."""
+    return document_hash(F.try_parse_json(payload))
 
 
 def redact(text: Column) -> Column:
-    """Bearer tokens and credentials in database addresses masked."""
+    """Bearer tokens and credentials in database addresses masked. The second pattern looks ahead to the sign that ends the
+    credentials, so that one mark stands for either pattern's match."""
     for pattern in MASKED:
         text = F.regexp_replace(text, pattern, f"$1{MARK}")
     return text
@@ -138,4 +192,20 @@ def placeholders(text: Column) -> Column:
 
 
 def shortened(text: Column, most: int = 200) -> Column:
+    """Longer texts cut, with three dots as the last of their ``most`` characters."""
     return F.when(F.length(text) > most, F.concat(F.substring(text, 1, most - 3), F.lit("..."))).otherwise(text)
+
+
+# The forms of identifiers, path components, run ids, checksums and object keys.
+FORMS = {
+    "identifier": r"^[A-Za-z_][A-Za-z0-9_]{0,62}\z",
+    "component": r"^[A-Za-z0-9][A-Za-z0-9._-]{0,127}\z",
+    "uuid": r"^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}\z",
+    "date_shape": r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([T ].*)?\z",
+    "sha256": r"^[0-9a-f]{64}\z",
+}
+
+
+def has_form(text: Column, form: str) -> Column:
+    """Whether a whole text has one of ``FORMS``; NULL has none."""
+    return F.coalesce(text.rlike(FORMS[form]), F.lit(False))

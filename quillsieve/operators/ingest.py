@@ -33,7 +33,7 @@ def quarantine_reason(endpoint: str, payload: Column) -> Column:
         return out
 
     fields = [f for f, _ in required] + DATE_FIELDS[table]
-    return X.let({"whole": X.json_probe(payload)} | {f: X.json_probe(payload, f) for f in fields}, judged)
+    return X.parsed(payload, {"whole": None} | {f: f for f in fields}, lambda p, _: judged(p))
 
 
 def quarantined(records: DataFrame, endpoint: str, payload: str = "payload") -> DataFrame:
@@ -55,20 +55,19 @@ def classified(records: DataFrame, endpoint: str, payload: str = "payload") -> D
             ((kind == "null") | ((kind == "string") & X.strip(p["updated_at"]["text"]).isNull())).alias("no_stamp"),
         )
 
-    def judged(p: Column) -> Column:
+    def judged(p: Column, doc: Column) -> Column:
         reason = (
             F.when(~p["is_object"], REJECT_NOT_OBJECT)
             .when(p["id"].isNull(), REJECT_NO_ID)
             .when(p["no_stamp"], REJECT_NO_STAMP)
             .when(p["stamp"].isNull(), REJECT_BAD_STAMP)
         )
-        return F.struct(p["id"].alias("_source_record_id"), p["stamp"].alias("_source_updated_at"), reason.alias("reject_reason"))
+        out = F.struct(p["id"].alias("_source_record_id"), p["stamp"].alias("_source_updated_at"), reason.alias("reject_reason"))
+        return X.let({"o": out}, lambda v: F.struct(*[v["o"][c].alias(c) for c in ("_source_record_id", "_source_updated_at", "reject_reason")], F.when(v["o"]["reject_reason"].isNull(), X.document_hash(doc)).alias("_payload_hash")))
 
-    p = F.col(payload)
-    probes = {"whole": X.json_probe(p)} | {f: X.json_probe(p, f) for f in [*fields, "updated_at"]}
-    found = X.let({"n": X.let(probes, named)}, lambda v: judged(v["n"]))
-    marked = records.withColumn("found", found).select(*records.columns, "found.*")
-    return marked.withColumn("_payload_hash", F.when(F.col("reject_reason").isNull(), X.payload_hash(p)))
+    probes = {"whole": None} | {f: f for f in [*fields, "updated_at"]}
+    found = X.parsed(F.col(payload), probes, lambda p, doc: X.let({"n": named(p)}, lambda v: judged(v["n"], doc)))
+    return records.withColumn("found", found).select(*records.columns, "found.*")
 
 
 KEY = ["_source_record_id", "_source_updated_at", "_payload_hash"]
@@ -77,13 +76,43 @@ KEY = ["_source_record_id", "_source_updated_at", "_payload_hash"]
 def merge_absent(target: DataFrame, batch: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The rows of ``batch`` to insert: the first of each key by ``order`` that ``target`` lacks.
 
-    A NULL in a key never equals anything, so such rows all go in.
+    A NULL in a key never equals anything, so such rows all go in. The first is an aggregate with map-side combine.
+    """
+    some = F.lit(False)
+    for k in keys:
+        some = some | F.col(k).isNull()
+    first = _firsts(batch.where(~some), keys, order)
+    return first.join(target.select(*keys), keys, "left_anti").select(*batch.columns).unionByName(batch.where(some))
+
+
+def merge_marked(rows: DataFrame, keys: list[str], order: list[str], present: Column) -> DataFrame:
+    """``merge_absent`` where target and batch are rows of one frame, of which ``present`` marks the target's: one pass."""
+    some = F.lit(False)
+    for k in keys:
+        some = some | F.col(k).isNull()
+    numbered = rows.withColumn("is_present", present).withColumn("own", F.when(some, F.monotonically_increasing_id()))
+    rest = [c for c in rows.columns if c not in keys]
+    place = F.when(~F.col("is_present"), F.struct(*order))
+    groups = numbered.groupBy(*keys, "own").agg(F.max("is_present").alias("there"), F.min(place).isNotNull().alias("offered"), F.min_by(F.struct(*rest), place).alias("row"))
+    return groups.where("offered AND (NOT there OR own IS NOT NULL)").select(*[F.col(c) if c in keys else F.col(f"row.{c}").alias(c) for c in rows.columns])
+
+
+def _firsts(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    rest = [c for c in rows.columns if c not in keys]
+    best = rows.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("row"))
+    return best.select(*[F.col(c) if c in keys else F.col(f"row.{c}").alias(c) for c in rows.columns])
+
+
+def turns(rows: DataFrame, keys: list[str], order: list[str]) -> Column:
+    """Whether a row is the first of its key by ``order``; a row with a NULL in its key always is.
+
+    Such rows would all meet in one window, so each of them gets a window of its own.
     """
-    whole = F.lit(True)
+    some = F.lit(False)
     for k in keys:
-        whole = whole & F.col(k).isNotNull()
-    first = batch.where(whole).withColumn("turn", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where("turn = 1").drop("turn")
-    return first.join(target.select(*keys).distinct(), keys, "left_anti").select(*batch.columns).unionByName(batch.where(~whole))
+        some = some | F.col(k).isNull()
+    own = F.when(some, F.xxhash64(*order))
+    return some | (F.row_number().over(Window.partitionBy(*keys, own).orderBy(*order)) == 1)
 
 
 def upsert_latest(old: DataFrame, new: DataFrame, keys: list[str], order: str) -> DataFrame:
@@ -141,10 +170,61 @@ def reconciled(pages: DataFrame) -> DataFrame:
     return pages.where("accepted + rejected <> source_records OR inserted + duplicates <> accepted")
 
 
+def page_counts(rows: DataFrame, page: list[str], keys: list[str], order: list[str]) -> DataFrame:
+    """Of classified ``rows`` (with ``reject_reason``), each page's records, accepted, rejected, inserted and duplicates.
+
+    One pass over the classification: a window marks the first of each key, and one aggregate counts.
+    """
+    good = F.col("reject_reason").isNull()
+    marked = rows.withColumn("is_first", turns(rows, keys, order))
+    counts = marked.groupBy(*page).agg(F.count(F.lit(1)).alias("source_records"), F.count_if(good).alias("accepted"), F.count_if(~good).alias("rejected"), F.count_if(good & F.col("is_first")).alias("inserted"))
+    return counts.withColumn("duplicates", F.col("accepted") - F.col("inserted"))
+
+
+def run_reconciled(pages: DataFrame, manifests: DataFrame, quarantined: DataFrame, run: str = "run_id") -> DataFrame:
+    """Runs whose sums are not the manifest's total (``total_records``), by rule and with both numbers.
+
+    ``processed``: the records of all pages. ``loaded_and_quarantined``: the accepted ones with the quarantined ones
+    (``quarantined``: run, n). A run without pages or quarantine counts as 0.
+    """
+    sums = pages.groupBy(run).agg(F.sum("source_records").alias("processed"), F.sum("accepted").alias("accepted"))
+    both = manifests.select(run, "total_records").join(sums, run, "left").join(quarantined.groupBy(run).agg(F.sum("n").alias("quarantined")), run, "left")
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0))
+    found = both.select(run, "total_records", zero("processed").alias("processed"), (zero("accepted") + zero("quarantined")).alias("loaded_and_quarantined"))
+    rules = found.selectExpr(run, "total_records", "stack(2, 'processed', processed, 'loaded_and_quarantined', loaded_and_quarantined) AS (rule, records)")
+    return rules.where("records <> total_records").select(run, "rule", "records", "total_records")
+
+
+def missing_parents(children: DataFrame, parents: DataFrame, key: str, parent_key: str | None = None) -> DataFrame:
+    """Rows of ``children`` whose ``key`` is in no row of ``parents``; a NULL key names no parent and passes."""
+    known = parents.select(F.col(parent_key or key).alias("known_parent"))
+    return children.join(known, F.col(key) == F.col("known_parent"), "left_anti").where(F.col(key).isNotNull())
+
+
+def count_observations(old: DataFrame, seen: DataFrame, keys: list[str]) -> DataFrame:
+    """Upsert with a counter: keys seen anew count up by 1 and take the new ``last_observed``, others start at 1.
+
+    ``old`` has keys, fingerprint, first_observed, last_observed, occurrence_count; ``seen`` keys, fingerprint, observed.
+    """
+    once = seen.groupBy(*keys).agg(F.max_by("fingerprint", "observed").alias("new_fingerprint"), F.max("observed").alias("observed"))
+    both = old.join(once, keys, "full")
+    return both.select(
+        *keys,
+        F.coalesce("new_fingerprint", "fingerprint").alias("fingerprint"),
+        F.coalesce("first_observed", "observed").alias("first_observed"),
+        F.coalesce("observed", "last_observed").alias("last_observed"),
+        (F.coalesce("occurrence_count", F.lit(0)) + F.col("observed").isNotNull().cast("long")).alias("occurrence_count"),
+    )
+
+
+def positions(records: DataFrame, page: list[str], order: str) -> DataFrame:
+    """``records`` with ``position``: their place in the page from 1, rejected ones included."""
+    return records.withColumn("position", F.row_number().over(Window.partitionBy(*page).orderBy(order)))
+
+
 def envelope_problem(body: Column, requested: Column) -> Column:
     """The first rule that a page's envelope breaks; NULL for a valid one."""
-    meta = F.get_json_object(body, "$.metadata")
-    probes = {"records": X.json_probe(body, "records")} | {k: X.json_probe(meta, k) for k in ("record_count", "page_token", "next_page_token", "high_water_mark")}
+    names = ("record_count", "page_token", "next_page_token", "high_water_mark")
 
     def judged(p: Column) -> Column:
         kind = lambda k: F.coalesce(X.json_kind(p[k]), F.lit("null"))
@@ -152,14 +232,15 @@ def envelope_problem(body: Column, requested: Column) -> Column:
         return (
             F.when(kind("records") != "array", "records_not_an_array")
             .when(F.exists(p["items"], lambda r: F.coalesce(X.json_kind(X.json_probe(r)), F.lit("")) != "object"), "record_not_an_object")
-            .when((kind("record_count") != "number") | ~text("record_count").rlike(r"^[0-9]+\z"), "bad_record_count")
+            .when((kind("record_count") != "number") | ~X.is_integer(p["record_count"]) | text("record_count").startswith("-"), "bad_record_count")
             .when(text("record_count").try_cast("bigint") != F.size(p["items"]), "record_count_differs")
             .when(F.coalesce(text("page_token"), F.lit("")) != F.coalesce(p["requested"], F.lit("")), "page_token_differs")
             .when((kind("next_page_token") != "null") & ((kind("next_page_token") != "string") | (text("next_page_token") == "")), "bad_next_page_token")
             .when((kind("high_water_mark") != "string") | (text("high_water_mark") == ""), "bad_high_water_mark")
         )
 
-    return X.let(probes | {"items": F.from_json(F.get_json_object(body, "$.records"), "array<string>"), "requested": requested}, judged)
+    probes = lambda p: X.let({"records": p["records"]} | {k: p[k] for k in names} | {"items": F.from_json(p["records"]["text"], "array<string>"), "requested": requested}, judged)
+    return X.parsed(body, {"records": "records"} | {k: f"metadata.{k}" for k in names}, lambda p, _: probes(p))
 
 
 def transitions(states: DataFrame, kind: str) -> DataFrame:
@@ -169,9 +250,9 @@ def transitions(states: DataFrame, kind: str) -> DataFrame:
 
 
 def consecutive_failures(runs: DataFrame, key: str, done: str = "succeeded") -> DataFrame:
-    """Failed runs of each key since its last successful one."""
-    last = Window.partitionBy(key)
-    marked = runs.withColumn("good", F.max(F.when(F.col("status") == done, F.col("started_at"))).over(last))
+    """Failed runs of each key since its last successful one: one small aggregate joined back, no window over a key's runs."""
+    good = runs.where(F.col("status") == done).groupBy(F.col(key).alias("good_key")).agg(F.max("started_at").alias("good"))
+    marked = runs.join(good, F.col(key).eqNullSafe(F.col("good_key")), "left")
     return marked.groupBy(key).agg(F.count_if((F.col("status") == "failed") & (F.col("good").isNull() | (F.col("started_at") > F.col("good")))).alias("failures"))
 
 
@@ -185,3 +266,17 @@ def freshness(runs: DataFrame, now: str, hours: int, done: list[str]) -> DataFra
     last = runs.where(F.col("status").isin(done)).agg(F.max("started_at").alias("last_success"))
     age = (F.unix_timestamp(F.lit(now).cast("timestamp")) - F.unix_timestamp(F.col("last_success").cast("timestamp"))) / F.lit(3600).cast("decimal(10,0)")
     return last.select("last_success", F.floor(age).cast("long").alias("age_hours"), F.coalesce(age <= hours, F.lit(False)).alias("fresh"))
+
+
+def source_freshness(rows: DataFrame, now: str, column: str = "_loaded_at", warn_hours: int = 24, error_hours: int = 72) -> DataFrame:
+    """Age of the newest row at ``now`` in seconds, and ``pass``, ``warn`` or ``error``; without any row it is an error."""
+    newest = rows.agg(F.max(column).alias("newest"))
+    age = F.unix_timestamp(F.lit(now).cast("timestamp")) - F.unix_timestamp(F.col("newest").cast("timestamp"))
+    status = F.when(age.isNull() | (age > error_hours * 3600), "error").when(age > warn_hours * 3600, "warn").otherwise("pass")
+    return newest.select("newest", age.cast("long").alias("age_seconds"), status.alias("status"))
+
+
+def all_runs(files: DataFrame, objects: DataFrame) -> DataFrame:
+    """Runs of both kinds as one table (run_id, endpoint, status, started_at, kind), so that freshness sees all of them."""
+    columns = ["run_id", "endpoint", "status", "started_at"]
+    return files.select(*columns, F.lit("files").alias("kind")).unionByName(objects.select(*columns, F.lit("objects").alias("kind")))

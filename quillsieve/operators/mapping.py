@@ -179,19 +179,60 @@ def overlaps(spans: DataFrame) -> DataFrame:
     return pairs.where("next_start <= end_date").select(*PARTITION, "start_date", "end_date", "next_start", "next_end")
 
 
-def gate(claims: DataFrame, spans: DataFrame, members: DataFrame) -> DataFrame:
-    """One row per check: its name, how many violations it found, and whether it passes."""
-    lines = accepted(claims, members)
-    refused = rejected(claims)
-    count = lambda df, name: df.agg(F.count(F.lit(1)).alias("violations")).select(F.lit(name).alias("check"), "violations")
-    shown = lambda field: refused.agg(F.when(F.count_if(F.col("field") == field) > 0, 0).otherwise(1).cast("long").alias("violations")).select(F.lit(f"exercised_{field}").alias("check"), "violations")
+def _row_hash(rows: DataFrame) -> list[Column]:
+    """128 bits of a row: two hashes of all values, with the places of the NULLs, which a hash passes over."""
+    nulls = F.concat(*[F.col(c).isNull().cast("int").cast("string") for c in rows.columns])
+    return [F.xxhash64(F.lit(seed), nulls, *rows.columns) for seed in (1, 2)]
+
+
+def _line_checks(claims: DataFrame) -> DataFrame:
+    """One row with the number of violations of each check of claim lines, in one pass and without the raw texts.
+
+    Raw rows travel as 128 bits and what the checks need of them, so that exact duplicates collapse in the aggregate
+    that also finds lines of one grain.
+    """
+    amount = lambda c: F.abs(X.cents_to_amount(F.col(f"{c}_cents")))
+    bad_amounts = ~((amount("paid") <= amount("allowed")) & (amount("allowed") <= amount("charge")))
+    kind = X.claim_type(F.col("claim_form_code"), F.col("bill_type_code"), F.col("place_of_service_code"))
+    small = claims.select(
+        *[h.alias(f"h{i}") for i, h in enumerate(_row_hash(claims))],
+        X.strip(F.col("clm_id")).alias("claim_id"),
+        X.safe_integer(X.strip(F.col("line_no"))).alias("line"),
+        reject_reason()["field"].alias("field"),
+        F.coalesce(bad_amounts, F.lit(False)).alias("bad_amounts"),
+        F.when(~kind.isin(CLAIM_TYPES), kind).alias("bad_type"),
+    )
+    good = F.col("field").isNull()
+    different = small.dropDuplicates()
+    grains = different.groupBy("field", F.when(good, F.col("claim_id")).alias("claim_id"), F.when(good, F.col("line")).alias("line")).agg(F.count(F.lit(1)).alias("n"), F.count_if("bad_amounts").alias("bad_amounts"), F.collect_set("bad_type").alias("bad_types"))
+    return grains.agg(
+        F.count_if(good & (F.col("n") > 1)).alias("grain"),
+        F.coalesce(F.sum(F.when(good, F.col("bad_amounts"))), F.lit(0)).alias("reconciliation"),
+        F.size(F.array_distinct(F.flatten(F.collect_set(F.when(good, F.col("bad_types")))))).cast("long").alias("claim_type"),
+        *[F.when(F.count_if(F.col("field") == f) > 0, 0).otherwise(1).cast("long").alias(f"exercised_{f}") for f in ("line_no", "clm_id")],
+    )
+
+
+def gate(claims: DataFrame, spans: DataFrame, members: DataFrame, documents: DataFrame | None = None) -> DataFrame:
+    """One row per check: its name, how many violations it found, and whether it passes.
+
+    ``documents`` (name, text) are the mapping's own documents, each of which must be free of placeholders.
+    """
+    names = ["grain", "reconciliation", "claim_type", "exercised_line_no", "exercised_clm_id"]
+    lines = _line_checks(claims).selectExpr(f"stack({len(names)}, {', '.join(f"'{n}', {n}" for n in names)}) AS (check, violations)")
+    accepted_keys = claims.where(reject_reason().isNull()).select("member_key")
     checks = [
-        count(grain_conflicts(lines, ["claim_id", "line_no"]), "grain"),
-        count(unreconciled(lines), "reconciliation"),
-        count(unexpected_types(lines, "claim_type", CLAIM_TYPES), "claim_type"),
-        coverage([lines, spans], members).select(F.lit("coverage").alias("check"), F.when(F.col("enough"), 0).otherwise(1).cast("long").alias("violations")),
-        count(overlaps(consolidated(spans, members)), "overlaps"),
-        shown("line_no"),
-        shown("clm_id"),
+        lines,
+        coverage([accepted_keys, spans], members).select(F.lit("coverage").alias("check"), F.when(F.col("enough"), 0).otherwise(1).cast("long").alias("violations")),
+        overlaps(consolidated(spans, members)).agg(F.count(F.lit(1)).alias("violations")).select(F.lit("overlaps").alias("check"), "violations"),
     ]
+    if documents is not None:
+        found = documents.select(F.col("name").alias("document"), F.size(X.placeholders(F.col("text"))).cast("long").alias("violations"))
+        checks.append(found.select(F.concat(F.lit("placeholders_"), "document").alias("check"), "violations"))
     return reduce(DataFrame.union, checks).withColumn("passes", F.col("violations") == 0)
+
+
+def verdict(checks: DataFrame) -> DataFrame:
+    """The gate's one answer: ready, and the names of the failed checks (a row per check, so few) in order."""
+    failed = F.array_sort(F.collect_list(F.when(~F.col("passes"), F.col("check"))))
+    return checks.agg(failed.alias("failed")).select((F.size("failed") == 0).alias("ready"), F.array_join("failed", ",").alias("reasons"))

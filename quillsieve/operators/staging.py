@@ -44,3 +44,25 @@ def final(raw: DataFrame, table: str, default_source: str) -> DataFrame:
     """The contract of ``table``: all columns, in order, with their types. Amounts are cast once, from their texts."""
     columns = FINAL[table]
     return parsed(raw, [k for _, _, k in columns if k]).select(*[_cast(*c, default_source) for c in columns])
+
+
+def row_json(df: DataFrame, name: str = "raw_row") -> DataFrame:
+    """Each row of ``df`` as a JSON object of texts in the columns' order; a NULL stays as a JSON null."""
+    texts = F.struct(*[F.col(c).cast("string").alias(c) for c in df.columns])
+    return df.select(F.to_json(texts, {"ignoreNullFields": "false"}).alias(name))
+
+
+def legacy_raw(df: DataFrame, snapshot: str, number: Column, loaded_at: str) -> DataFrame:
+    """The raw rows of a snapshot's table: its id, the row's number from 1, when it was loaded, and the row as JSON."""
+    texts = F.struct(*[F.col(c).cast("string").alias(c) for c in df.columns if c != "row_number"])
+    return df.select(
+        F.lit(snapshot).alias("_snapshot_id"),
+        number.cast("long").alias("_source_row_number"),
+        F.lit(loaded_at).cast("timestamp").alias("_loaded_at"),
+        F.to_json(texts, {"ignoreNullFields": "false"}).alias("raw_row"),
+    )
+
+
+def both_loaders(legacy: DataFrame, objects: DataFrame) -> DataFrame:
+    """The rows of both loaders as one raw table; a column that a loader does not set is NULL."""
+    return legacy.unionByName(objects, allowMissingColumns=True)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,10 +10,13 @@ from pyspark.sql import functions as F
 
 from quillsieve.functions import exprs as X
 from quillsieve.operators import drift, hashes, ingest, mapping, quality, staging
-from quillsieve.plans.contracts import FINAL, GRAIN, STAGING
+from quillsieve.plans import contract_sql
+from quillsieve.plans.contracts import GRAIN, STAGING
 from quillsieve.sources import feed
 from quillsieve.sources.feed import plain_sql, spark_frame
+from quillsieve.sources import files
 from quillsieve.sources.files import mismatches
+from quillsieve.sources.shared import Store, shared_root
 
 DEFAULT_SOURCE = "feed0"
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,26 +57,8 @@ def _cents(x: str) -> str:
     return f"CASE WHEN regexp_full_match({_strip(x)}, '-?[0-9]+') THEN (TRY_CAST({_strip(x)} AS DECIMAL(20,0)) * 0.01)::DECIMAL(18,2) END"
 
 
-def _column_sql(name: str, kind: str, key: str | None) -> str:
-    types = {"text": "VARCHAR", "date": "DATE", "int": "INTEGER", "numeric": "DECIMAL(38,10)", "money": "DECIMAL(38,2)", "flag": "INTEGER", "timestamp": "TIMESTAMP"}
-    if key is None:
-        return f"CAST(NULL AS {types[kind]}) AS {name}"
-    text = _field(key)
-    if name == "data_source":
-        text = f"coalesce({text}, '{DEFAULT_SOURCE}')"
-    made = {
-        "text": text,
-        "date": _as_date(text),
-        "int": _as_int(text),
-        "numeric": _as_number(text, "DECIMAL(38,10)"),
-        "money": _as_number(text, "DECIMAL(38,2)"),
-        "flag": f"CASE WHEN ({_as_date(text)}) IS NOT NULL THEN 1 ELSE 0 END",
-    }[kind]
-    return f"CAST({made} AS {types[kind]}) AS {name}"
-
-
 def _final_sql(table: str) -> str:
-    return f"SELECT {', '.join(_column_sql(*c) for c in FINAL[table])} FROM ({plain_sql(feed.RAW[table])}) raw"
+    return contract_sql.contract(table, plain_sql(feed.RAW[table]), DEFAULT_SOURCE)
 
 
 _CLAIMS = plain_sql(feed.VENDOR_CLAIMS)
@@ -186,18 +172,40 @@ _cast_query("safe_integer_cast", "pharmacy_claim", [("quantity", "int"), ("refil
 _add("cents_to_amount", lambda s, d: _claims(s, d).select("clm_id", X.cents_to_amount(F.col("paid_cents")).alias("paid"), X.cents_to_amount(F.col("charge_cents")).alias("charge")), f"SELECT clm_id, {_cents('paid_cents')} AS paid, {_cents('charge_cents')} AS charge FROM ({_CLAIMS}) c")
 _add("payload_coalesce", lambda s, d: _raw(s, d, "eligibility").select("_source_row_number", _payload().alias("payload")), f"SELECT _source_row_number, coalesce(_raw_payload, raw_row) AS payload FROM ({plain_sql(feed.RAW['eligibility'])}) r")
 _add("claim_type_derivation", lambda s, d: _claims(s, d).select("clm_id", "line_no", X.claim_type(F.col("claim_form_code"), F.col("bill_type_code"), F.col("place_of_service_code")).alias("claim_type")), f"SELECT clm_id, line_no, {_TYPE} AS claim_type FROM ({_CLAIMS}) c")
+def _id_of(payload: Column) -> Column:
+    return X.parsed(payload, {"a": "claim_id", "b": "claim_line_number"}, lambda p, _: X.record_id([X.id_part(p["a"]), X.id_part(p["b"])]))
+
+
 _add(
     "source_record_id",
-    lambda s, d: _raw(s, d, "medical_claim").select("_source_row_number", X.record_id([X.id_part(X.json_probe(_payload(), "claim_id")), X.id_part(X.json_probe(_payload(), "claim_line_number"))]).alias("record_id")),
+    lambda s, d: _raw(s, d, "medical_claim").select("_source_row_number", _id_of(_payload()).alias("record_id")),
     f"""SELECT _source_row_number, octet_length(encode(a))::VARCHAR || ':' || a || octet_length(encode(b))::VARCHAR || ':' || b AS record_id
     FROM (SELECT _source_row_number, {_strip("json_extract_string(coalesce(_raw_payload, raw_row), '$.claim_id')")} AS a, {_strip("json_extract_string(coalesce(_raw_payload, raw_row), '$.claim_line_number')")} AS b FROM ({plain_sql(feed.RAW['medical_claim'])}) r) x""",
 )
+#: Identifiers that are JSON numbers: whole ones of any size, with fractions of zeros, and what is none.
+_NUMBERS = """SELECT o_orderkey, '{{"claim_id":' || CASE o_orderkey % 10 WHEN 0 THEN CAST(o_orderkey AS STRING) WHEN 1 THEN CAST(o_orderkey AS STRING) || '.0' WHEN 2 THEN '9876543210987654321' || CAST(100000000 + o_orderkey AS STRING)
+ WHEN 3 THEN CAST(o_orderkey AS STRING) || '.5' WHEN 4 THEN 'true' WHEN 5 THEN '" "' WHEN 6 THEN '{{"a":1}}' WHEN 7 THEN '12345678901234567' || CAST(o_orderkey % 10 AS STRING) || '.00' WHEN 8 THEN '1' || repeat('7', 45) ELSE '-' || CAST(o_orderkey AS STRING) END
+ || ',"claim_line_number":' || CASE o_orderkey % 3 WHEN 0 THEN '"é "' WHEN 1 THEN '2e1' ELSE '3' END || '}}' AS payload FROM {orders}"""
+_add(
+    "source_record_id_numbers",
+    lambda s, d: spark_frame(s, d, _NUMBERS).select("o_orderkey", _id_of(F.col("payload")).alias("record_id")),
+    """SELECT o_orderkey, length(a)::VARCHAR || ':' || a || CASE o_orderkey % 3 WHEN 0 THEN '2:é' WHEN 1 THEN '2:20' ELSE '1:3' END AS record_id FROM (SELECT o_orderkey, CASE o_orderkey % 10 WHEN 0 THEN o_orderkey::VARCHAR WHEN 1 THEN o_orderkey::VARCHAR
+    WHEN 2 THEN '9876543210987654321' || (100000000 + o_orderkey) WHEN 7 THEN '123456789012345677' WHEN 8 THEN '1' || repeat('7', 45) WHEN 9 THEN '-' || o_orderkey END AS a FROM orders) x""",
+)
 _STAMP = r"""CASE WHEN regexp_full_match({0}, '\d{{4}}-\d{{2}}-\d{{2}}([T ]\d{{2}}:\d{{2}}:\d{{2}}Z?)?') THEN TRY_CAST(replace({0}, 'Z', '') AS TIMESTAMP) END"""
 _add(
     "source_updated_at",
     lambda s, d: _raw(s, d, "medical_claim").select("_source_row_number", X.updated_at(F.get_json_object(_payload(), "$.updated_at")).cast("timestamp_ntz").alias("updated_at")),
     f"SELECT _source_row_number, {_STAMP.format('t')} AS updated_at FROM (SELECT _source_row_number, {_strip(_field('updated_at'))} AS t FROM ({plain_sql(feed.RAW['medical_claim'])}) r) x",
 )
+_STAMPS = """SELECT o_orderkey, CASE o_orderkey % 12 WHEN 0 THEN '2024-02-29T03:04:05+05:30' WHEN 1 THEN '20240229T030405' WHEN 2 THEN ' 2024-02-29 03:04:05.123456789 ' WHEN 3 THEN '2024-02-29T03' WHEN 4 THEN '2024-02-30' WHEN 5 THEN '2024-02-29T24:30'
+ WHEN 6 THEN '2024-02-29T03:04:05,5Z' WHEN 7 THEN '20240229' WHEN 8 THEN 'soon' WHEN 9 THEN '2024-02-29T030405-0100' WHEN 10 THEN '2024-02-29x03:04-00:00:30' ELSE '2024-02-29' END AS stamp FROM {orders}"""
+_add(
+    "iso_timestamps",
+    lambda s, d: spark_frame(s, d, _STAMPS).select("o_orderkey", X.updated_at(F.col("stamp")).cast("timestamp_ntz").alias("updated_at")),
+    """SELECT o_orderkey, CASE o_orderkey % 12 WHEN 0 THEN TIMESTAMP '2024-02-28 21:34:05' WHEN 1 THEN TIMESTAMP '2024-02-29 03:04:05' WHEN 2 THEN TIMESTAMP '2024-02-29 03:04:05.123456' WHEN 3 THEN TIMESTAMP '2024-02-29 03:00:00'
+    WHEN 6 THEN TIMESTAMP '2024-02-29 03:04:05.5' WHEN 7 THEN TIMESTAMP '2024-02-29' WHEN 9 THEN TIMESTAMP '2024-02-29 04:04:05' WHEN 10 THEN TIMESTAMP '2024-02-29 03:04:30' WHEN 11 THEN TIMESTAMP '2024-02-29' END AS updated_at FROM orders""",
+)
 _LOG = "SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN 'sent Bearer abc.' || CAST(o_custkey AS STRING) || '-x to all' WHEN 1 THEN 'at postgres://me:pw' || CAST(o_custkey AS STRING) || '@host/db and POSTGRESQL://u@h' WHEN 2 THEN o_orderpriority END AS line FROM {orders}"
 _add(
     "redact_text",
@@ -210,6 +218,13 @@ _add(
     lambda s, d: spark_frame(s, d, _NOTES).select("p_partkey", F.array_join(X.placeholders(F.col("note")), ",").alias("found")),
     "SELECT p_partkey, concat_ws(',', " + ", ".join(rf"nullif(regexp_extract(note, '(?i)({p})', 1), '')" for p in X.PLACEHOLDERS) + f") AS found FROM ({plain_sql(_NOTES)}) n",
 )
+_add("shorten_text", lambda s, d: s.read.parquet(f"{d.rstrip('/')}/part.parquet").select("p_partkey", X.shortened(F.col("p_name"), 20).alias("name")), "SELECT p_partkey, CASE WHEN length(p_name) > 20 THEN substr(p_name, 1, 17) || '...' ELSE p_name END AS name FROM part")
+_FORMED = "SELECT c_custkey, CASE c_custkey % 7 WHEN 0 THEN 'run_' || CAST(c_custkey AS STRING) WHEN 1 THEN '2024-01-02T' || CAST(c_custkey AS STRING) WHEN 2 THEN '123e4567-e89b-42d3-a456-426614174000' WHEN 3 THEN '../up' WHEN 4 THEN repeat('ab', 32) WHEN 5 THEN '2024-01-02' || chr(10) END AS word FROM {customer}"
+_add(
+    "form_predicates",
+    lambda s, d: spark_frame(s, d, _FORMED).select("c_custkey", *[X.has_form(F.col("word"), f).alias(f) for f in X.FORMS]),
+    """SELECT c_custkey, c_custkey % 7 = 0 AS identifier, c_custkey % 7 IN (0, 1, 2, 4) AS component, c_custkey % 7 = 2 AS uuid, c_custkey % 7 = 1 AS date_shape, c_custkey % 7 = 4 AS sha256 FROM customer""",
+)
 _UNSORTED = """SELECT o_orderkey, '{{"z":{{"b":"' || o_orderstatus || '","a":null}},"b":"' || o_orderpriority || '", "a": "' || CAST(o_custkey AS STRING) || '"}}' AS payload FROM {orders}"""
 _SORTED = """SELECT o_orderkey, sha256('{{"a":"' || CAST(o_custkey AS STRING) || '","b":"' || o_orderpriority || '","z":{{"a":null,"b":"' || o_orderstatus || '"}}}}') AS hash FROM {orders}"""
 _add("payload_hash", lambda s, d: spark_frame(s, d, _UNSORTED).select("o_orderkey", X.payload_hash(F.col("payload")).alias("hash")), plain_sql(_SORTED))
@@ -227,7 +242,7 @@ for _t in STAGING:
     _add(
         f"stg_{_t}",
         lambda s, d, t=_t: staging.staged(_raw(s, d, t), t, DEFAULT_SOURCE),
-        f"SELECT _snapshot_id, _source_row_number, {', '.join(_column_sql(*c) for c in STAGING[_t])} FROM ({plain_sql(feed.RAW[_t])}) raw",
+        contract_sql.staged(_t, plain_sql(feed.RAW[_t]), DEFAULT_SOURCE),
     )
     _add(f"input_{_t}", lambda s, d, t=_t: staging.final(_raw(s, d, t), t, DEFAULT_SOURCE), _final_sql(_t))
 
@@ -283,9 +298,14 @@ _add(
     one AS (SELECT id, claim_id, line_no, code_type, code, min(p) AS p FROM long GROUP BY ALL)
     SELECT o.claim_id, o.line_no, row_number() OVER (PARTITION BY o.id ORDER BY o.p)::INTEGER AS sequence, o.code_type, o.code, l.day AS code_date FROM one o JOIN long l ON l.id = o.id AND l.p = o.p""",
 )
-_add(
-    "readiness_gate",
-    lambda s, d: mapping.gate(_claims(s, d), spark_frame(s, d, feed.VENDOR_SPANS), _members(s, d)),
+_DOCS = "SELECT 'sheet' || CAST(r_regionkey AS STRING) AS name, CASE r_regionkey WHEN 1 THEN 'still TODO' WHEN 3 THEN 'Unknown, or tbd' ELSE r_name END AS text FROM {region}"
+
+
+def _gated(s: SparkSession, d: str, *documents: DataFrame) -> DataFrame:
+    return mapping.gate(_claims(s, d), spark_frame(s, d, feed.VENDOR_SPANS), _members(s, d), *documents)
+
+
+_GATE_SQL = (
     f"""WITH {_LINES}, {_SPAN_CTES}, found AS (
     SELECT 'grain' AS "check", (SELECT count(*) FROM (SELECT 1 FROM lines GROUP BY claim_id, line_no HAVING count(*) > 1)) AS violations
     UNION ALL SELECT 'reconciliation', (SELECT count(*) FROM ({_BAD_AMOUNTS}))
@@ -294,7 +314,14 @@ _add(
     UNION ALL SELECT 'overlaps', (SELECT count(*) FROM ({_OVERLAPS.format('spans')}))
     UNION ALL SELECT 'exercised_line_no', CASE WHEN (SELECT count(*) FROM refused WHERE field = 'line_no') > 0 THEN 0 ELSE 1 END
     UNION ALL SELECT 'exercised_clm_id', CASE WHEN (SELECT count(*) FROM refused WHERE field = 'clm_id') > 0 THEN 0 ELSE 1 END)
-    SELECT "check", violations::BIGINT AS violations, violations = 0 AS passes FROM found""",
+    SELECT "check", violations::BIGINT AS violations, violations = 0 AS passes FROM found"""
+)
+_add("readiness_gate", _gated, _GATE_SQL)
+_add(
+    "readiness_verdict",
+    lambda s, d: mapping.verdict(_gated(s, d, spark_frame(s, d, _DOCS))),
+    f"""SELECT count(*) FILTER (WHERE NOT passes) = 0 AS ready, coalesce(string_agg("check", ',' ORDER BY "check") FILTER (WHERE NOT passes), '') AS reasons
+    FROM ({_GATE_SQL} UNION ALL SELECT 'placeholders_sheet' || r_regionkey, CASE r_regionkey WHEN 1 THEN 1 WHEN 3 THEN 2 ELSE 0 END, r_regionkey NOT IN (1, 3) FROM region) x""",
 )
 
 # Checks of the contracts.
@@ -312,7 +339,7 @@ _add("dq_unique_combination", lambda s, d: quality.unique_combination(_checked(s
 # Landing.
 
 _PERSON = "json_extract_string(payload, '$.person_id')"
-_ID = f"CASE {_kind('payload', 'person_id')} WHEN 'string' THEN {_strip(_PERSON)} WHEN 'number' THEN {_PERSON} END"
+_ID = f"CASE {_kind('payload', 'person_id')} WHEN 'string' THEN {_strip(_PERSON)} WHEN 'number' THEN CASE WHEN regexp_full_match({_PERSON}, '-?[0-9]+(\\.0+)?') THEN regexp_replace({_PERSON}, '\\.0+$', '') END END"
 _STAMP_TEXT = "json_extract_string(payload, '$.updated_at')"
 _QUARANTINE = f"""judged AS (
   SELECT *, CASE WHEN {_kind('payload')} <> 'object' THEN 'record_not_object'
@@ -344,8 +371,7 @@ _add("accept_reject_classification", lambda s, d: _classified(s, d).select("run_
 
 def _merged(s: SparkSession, d: str) -> DataFrame:
     good = _classified(s, d).where("reject_reason IS NULL").select("run_id", "page_number", "position", *ingest.KEY)
-    first = ingest.merge_absent(good.limit(0), good.where("run_id = 'run1'"), ingest.KEY, ["page_number", "position"])
-    return ingest.merge_absent(first, good.where("run_id = 'run2'"), ingest.KEY, ["page_number", "position"]).select("page_number", "position", "_source_record_id", "_source_updated_at")
+    return ingest.merge_marked(good, ingest.KEY, ["page_number", "position"], F.col("run_id") == "run1").select("page_number", "position", "_source_record_id", "_source_updated_at")
 
 
 # two payloads are the same if their texts are, as the feed writes keys in one order
@@ -373,11 +399,9 @@ _add("loaded_row_count", lambda s, d: _raw(s, d, "medical_claim").groupBy("_snap
 
 def _page_counts(s: SparkSession, d: str) -> DataFrame:
     rows = _classified(s, d).select("run_id", "page_number", "position", "reject_reason", *ingest.KEY)
-    inserted = ingest.merge_absent(rows.limit(0), rows.where("reject_reason IS NULL"), ingest.KEY, ["run_id", "page_number", "position"]).groupBy("run_id", "page_number").agg(F.count(F.lit(1)).alias("inserted"))
-    counts = rows.groupBy("run_id", "page_number").agg(F.count(F.lit(1)).alias("source_records"), F.count_if(F.col("reject_reason").isNull()).alias("accepted"), F.count_if(F.col("reject_reason").isNotNull()).alias("rejected"))
-    both = counts.join(inserted, ["run_id", "page_number"], "left").withColumn("inserted", F.coalesce("inserted", F.lit(0)))
+    counts = ingest.page_counts(rows, ["run_id", "page_number"], ingest.KEY, ["run_id", "page_number", "position"])
     # every tenth page lost a record on the way
-    return both.withColumn("duplicates", F.col("accepted") - F.col("inserted")).withColumn("source_records", F.col("source_records") + F.when(F.col("page_number") % 10 == 3, 1).otherwise(0))
+    return counts.withColumn("source_records", F.col("source_records") + F.when(F.col("page_number") % 10 == 3, 1).otherwise(0))
 
 
 _add(
@@ -388,6 +412,87 @@ _add(
     c AS (SELECT run_id, page_number, count(*) + CASE WHEN page_number % 10 = 3 THEN 1 ELSE 0 END AS source_records, count(*) FILTER (WHERE reject_reason IS NULL) AS accepted, count(*) FILTER (WHERE reject_reason IS NOT NULL) AS rejected FROM classed GROUP BY run_id, page_number)
     SELECT c.run_id, c.page_number, source_records, accepted, rejected, coalesce(inserted, 0) AS inserted, accepted - coalesce(inserted, 0) AS duplicates FROM c LEFT JOIN ins USING (run_id, page_number) WHERE accepted + rejected <> source_records""",
 )
+
+
+def _run_problems(s: SparkSession, d: str) -> DataFrame:
+    pages = _page_counts(s, d)
+    # the manifest counts what was sent, and the second run kept no record of one refusal
+    totals = _records(s, d).groupBy("run_id").agg(F.count(F.lit(1)).alias("total_records"))
+    kept = pages.select("run_id", (F.col("rejected") - F.when((F.col("run_id") == "run2") & (F.col("page_number") == 0), 1).otherwise(0)).alias("n"))
+    return ingest.run_reconciled(pages, totals, kept)
+
+
+_add(
+    "run_reconciliation",
+    _run_problems,
+    f"""WITH r AS (SELECT run_id, count(*) AS total_records, count(DISTINCT CASE WHEN page_number % 10 = 3 THEN page_number END) AS lost FROM ({_RECORDS}) r GROUP BY 1)
+    SELECT run_id, 'processed' AS rule, total_records + lost AS records, total_records FROM r WHERE lost > 0
+    UNION ALL SELECT run_id, 'loaded_and_quarantined', total_records - 1, total_records FROM r WHERE run_id = 'run2'""",
+)
+_add(
+    "missing_parents",
+    lambda s, d: ingest.missing_parents(
+        spark_frame(s, d, "SELECT CASE WHEN l_partkey % 50 = 0 THEN NULL ELSE l_orderkey END AS l_orderkey, l_linenumber, l_partkey FROM {lineitem}"), spark_frame(s, d, "SELECT o_orderkey FROM {orders} WHERE o_orderkey % 9 <> 4"), "l_orderkey", "o_orderkey"
+    ),
+    "SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem WHERE l_partkey % 50 <> 0 AND l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderkey % 9 <> 4)",
+)
+_SEEN = "SELECT event_type AS path, CASE WHEN event_id % 3 = 0 THEN 'string' ELSE 'number' END AS type, 'f' || CAST(event_id % 7 AS STRING) AS fingerprint, event_id AS observed, event_id % 10 AS half FROM {events} WHERE event_id % 5 <> 2 OR event_type = 'click'"
+
+
+def _counters(s: SparkSession, d: str) -> DataFrame:
+    seen = spark_frame(s, d, _SEEN)
+    keys, empty = ["path", "type"], "path string, type string, fingerprint string, first_observed long, last_observed long, occurrence_count long"
+    first = ingest.count_observations(s.createDataFrame([], empty), seen.where("half < 6 AND NOT (type = 'string' AND path = 'view')").drop("half"), keys)
+    return ingest.count_observations(first, seen.where("half >= 6").drop("half"), keys)
+
+
+_add(
+    "observation_counters",
+    _counters,
+    f"""WITH s AS ({plain_sql(_SEEN)}), a AS (SELECT path, type, min(observed) AS lo, max(observed) AS hi, arg_max(fingerprint, observed) AS f FROM s WHERE half < 6 AND NOT (type = 'string' AND path = 'view') GROUP BY 1, 2),
+    b AS (SELECT path, type, max(observed) AS hi, arg_max(fingerprint, observed) AS f FROM s WHERE half >= 6 GROUP BY 1, 2)
+    SELECT path, type, coalesce(b.f, a.f) AS fingerprint, coalesce(a.hi, b.hi) AS first_observed, coalesce(b.hi, a.hi) AS last_observed, (a.hi IS NOT NULL)::BIGINT + (b.hi IS NOT NULL)::BIGINT AS occurrence_count FROM a FULL JOIN b USING (path, type)""",
+)
+_add(
+    "page_positions",
+    lambda s, d: ingest.positions(_records(s, d).drop("position"), ["run_id", "page_number"], "event_id").select("run_id", "page_number", "event_id", "position"),
+    f"SELECT run_id, page_number, event_id, row_number() OVER (PARTITION BY run_id, page_number ORDER BY event_id)::INTEGER AS position FROM ({_RECORDS}) r",
+)
+_SNAPSHOT = "SELECT c_custkey, CASE WHEN c_custkey % 6 = 0 THEN NULL ELSE c_name END AS c_name, CASE WHEN c_custkey % 8 = 0 THEN '' ELSE c_mktsegment END AS segment, CAST(FLOOR(c_custkey / 1000) AS INT) AS part_no, 'all' AS whole FROM {customer}"
+
+
+def _legacy(s: SparkSession, d: str) -> DataFrame:
+    numbered = ingest.row_numbers(spark_frame(s, d, _SNAPSHOT), ["whole", "part_no"], "c_custkey", F.lit(True))
+    return staging.legacy_raw(numbered.select("c_custkey", "c_name", "segment", F.col("_source_row_number").alias("row_number")), "s1", F.col("row_number"), "2025-01-01 00:00:00").withColumn("_loaded_at", F.col("_loaded_at").cast("timestamp_ntz"))
+
+
+_add(
+    "legacy_raw_rows",
+    _legacy,
+    f"""SELECT 's1' AS _snapshot_id, row_number() OVER (ORDER BY c_custkey) AS _source_row_number, TIMESTAMP '2025-01-01' AS _loaded_at,
+    '{{"c_custkey":"' || c_custkey || '","c_name":' || coalesce('"' || c_name || '"', 'null') || ',"segment":"' || segment || '"}}' AS raw_row FROM ({plain_sql(_SNAPSHOT)}) x""",
+)
+_add(
+    "both_loaders_rows",
+    lambda s, d: staging.both_loaders((r := _raw(s, d, "eligibility")).where("raw_row IS NOT NULL").drop("_raw_payload"), r.where("_raw_payload IS NOT NULL").drop("raw_row", "_snapshot_id")).select("_snapshot_id", "_source_row_number", "raw_row", "_raw_payload"),
+    f"SELECT CASE WHEN raw_row IS NOT NULL THEN _snapshot_id END AS _snapshot_id, _source_row_number, raw_row, _raw_payload FROM ({plain_sql(feed.RAW['eligibility'])}) r",
+)
+_LOADED = "SELECT o_orderkey, CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS _loaded_at FROM {orders} WHERE CAST(o_orderdate AS DATE) < DATE '1995-06-01'"
+
+
+def _fresh(s: SparkSession, d: str) -> DataFrame:
+    rows = spark_frame(s, d, _LOADED)
+    parts = [ingest.source_freshness(rows.where(F.col("o_orderkey") % 1000 < n), now).withColumn("now", F.lit(now)) for n, now in ((1000, "1995-06-01 12:00:00"), (1000, "1995-06-02 12:00:00"), (1000, "1995-06-09 00:00:00"), (0, "1995-06-01 12:00:00"))]
+    return parts[0].union(parts[1]).union(parts[2]).union(parts[3]).withColumn("newest", F.col("newest").cast("timestamp_ntz"))
+
+
+_add(
+    "source_freshness",
+    _fresh,
+    f"""WITH n AS (SELECT max(_loaded_at) AS newest FROM ({plain_sql(_LOADED)}) r), c AS (SELECT * FROM (VALUES ('1995-06-01 12:00:00', true), ('1995-06-02 12:00:00', true), ('1995-06-09 00:00:00', true), ('1995-06-01 12:00:00', false)) v(now, seen)),
+    a AS (SELECT CASE WHEN seen THEN newest END AS newest, now, CASE WHEN seen THEN epoch(now::TIMESTAMP - newest)::BIGINT END AS age_seconds FROM c, n)
+    SELECT newest, age_seconds, CASE WHEN age_seconds IS NULL OR age_seconds > 259200 THEN 'error' WHEN age_seconds > 86400 THEN 'warn' ELSE 'pass' END AS status, now FROM a""",
+)
 _PAGES = "SELECT run_id, page_number, count(*) AS record_count, sum(length(payload)) AS bytes, max(day) AS mark, CAST(max(event_id) % 9 AS STRING) AS token FROM ({records}) r GROUP BY run_id, page_number"
 
 
@@ -431,7 +536,18 @@ _add(
     """SELECT o_orderkey, CASE WHEN o_orderkey % 9 = 0 THEN 'records_not_an_array' WHEN o_orderkey % 9 = 1 THEN 'record_not_an_object' WHEN o_orderkey % 9 IN (2, 4) THEN 'bad_record_count'
     WHEN o_orderkey % 9 = 3 THEN 'record_count_differs' WHEN o_orderkey % 13 = 0 THEN 'page_token_differs' WHEN o_orderkey % 9 IN (5, 6) THEN 'bad_next_page_token' WHEN o_orderkey % 9 = 7 THEN 'bad_high_water_mark' END AS problem FROM orders""",
 )
-_add("snapshot_reload", lambda s, d: _raw(s, d, "eligibility").where("_snapshot_id = 's3'").select("_snapshot_id", "_source_row_number"), f"SELECT _snapshot_id, _source_row_number FROM ({plain_sql(feed.RAW['eligibility'])}) r WHERE _snapshot_id = 's3'")
+
+
+def _reloaded(s: SparkSession, d: str) -> DataFrame:
+    """Two snapshots of all three tables, one after the other, and what a reader then sees."""
+    store, names = Store(s, f"{shared_root(s)}/reload-{uuid.uuid4().hex}"), ("eligibility", "medical_claim", "pharmacy_claim")
+    for snapshot in ("s2", "s3"):
+        files.reload({t: _raw(s, d, t).where(F.col("_snapshot_id") == snapshot) for t in names}, store)
+    seen = [files.loaded(s, store, t).select(F.lit(t).alias("table_name"), "_snapshot_id", "_source_row_number") for t in names]
+    return seen[0].union(seen[1]).union(seen[2])
+
+
+_add("snapshot_reload", _reloaded, " UNION ALL ".join(f"SELECT '{t}' AS table_name, _snapshot_id, _source_row_number FROM ({plain_sql(feed.RAW[t])}) r WHERE _snapshot_id = 's3'" for t in ("eligibility", "medical_claim", "pharmacy_claim")))
 
 
 def _verified(s: SparkSession, d: str) -> DataFrame:
@@ -453,12 +569,29 @@ _add(
 _add("consecutive_failures", lambda s, d: ingest.consecutive_failures(_runs(s, d), "endpoint"), f"WITH r AS ({_RUNS}), g AS (SELECT endpoint, max(started_at) AS good FROM r WHERE status = 'succeeded' GROUP BY 1) SELECT r.endpoint, count(*) FILTER (WHERE status = 'failed' AND (good IS NULL OR started_at > good)) AS failures FROM r LEFT JOIN g USING (endpoint) GROUP BY 1")
 _add("table_load_counts", lambda s, d: _runs(s, d).where("status IN ('succeeded', 'committed')").groupBy("endpoint").agg(F.sum("number").alias("n_rows"), F.count(F.lit(1)).alias("loads")), f"SELECT endpoint, sum(number)::BIGINT AS n_rows, count(*) AS loads FROM ({_RUNS}) r WHERE status IN ('succeeded', 'committed') GROUP BY 1")
 _add("latest_successful_run", lambda s, d: ingest.latest_run(_runs(s, d)).select("run_id", "endpoint", "number"), f"SELECT run_id, endpoint, number FROM ({_RUNS}) r WHERE status = 'succeeded' ORDER BY started_at DESC, run_id LIMIT 1")
-_add("freshness_check", lambda s, d: ingest.freshness(_runs(s, d), "2025-01-03 12:00:00", 30, ["succeeded", "committed"]).select("age_hours", "fresh"), f"SELECT floor(epoch(TIMESTAMP '2025-01-03 12:00:00' - max(started_at)) / 3600)::BIGINT AS age_hours, coalesce(epoch(TIMESTAMP '2025-01-03 12:00:00' - max(started_at)) / 3600 <= 30, false) AS fresh FROM ({_RUNS}) r WHERE status IN ('succeeded', 'committed')")
+_add("freshness_check", lambda s, d: ingest.freshness(ingest.all_runs((r := _runs(s, d)).where("number % 3 > 0"), r.where("number % 3 = 0")), "2025-01-03 12:00:00", 30, ["succeeded", "committed"]).select("age_hours", "fresh"), f"SELECT floor(epoch(TIMESTAMP '2025-01-03 12:00:00' - max(started_at)) / 3600)::BIGINT AS age_hours, coalesce(epoch(TIMESTAMP '2025-01-03 12:00:00' - max(started_at)) / 3600 <= 30, false) AS fresh FROM ({_RUNS}) r WHERE status IN ('succeeded', 'committed')")
 _add(
     "run_state_transitions",
     lambda s, d: ingest.transitions(_runs(s, d).select("run_id", F.lit("running").alias("before"), F.col("status").alias("after")), "files"),
     f"SELECT run_id, 'running' AS before, status AS after, status IN ('succeeded', 'failed', 'skipped') AS allowed FROM ({_RUNS}) r",
 )
+_OBJECT_RUNS = "SELECT c_custkey, CASE c_custkey % 4 WHEN 0 THEN 'running' WHEN 1 THEN 'published' WHEN 2 THEN 'loading' ELSE 'committed' END AS before, CASE c_custkey % 5 WHEN 0 THEN 'published' WHEN 1 THEN 'loading' WHEN 2 THEN 'committed' WHEN 3 THEN 'failed' ELSE 'running' END AS after FROM {customer}"
+_add(
+    "object_run_transitions",
+    lambda s, d: ingest.transitions(spark_frame(s, d, _OBJECT_RUNS), "objects"),
+    f"SELECT c_custkey, before, after, (before, after) IN (('running', 'published'), ('running', 'failed'), ('published', 'loading'), ('published', 'failed'), ('loading', 'committed'), ('loading', 'failed')) AS allowed FROM ({plain_sql(_OBJECT_RUNS)}) x",
+)
+_NESTED = """SELECT CAST(FLOOR(o_orderkey / 500) AS INT) AS page, '{{"id":' || CAST(o_orderkey AS STRING) || ',"who":{{"name":' || CASE WHEN o_orderkey % 5 = 0 THEN 'null' ELSE '"x"' END || ',"tags":[' || CASE o_orderkey % 3 WHEN 0 THEN '' WHEN 1 THEN '1,"a"' ELSE '{{"k":true}},[2]' END
+ || ']}}' || CASE WHEN o_orderkey % 4 = 0 THEN ',"more":[]' ELSE '' END || '}}' AS payload FROM {orders}"""
+_NESTED_KINDS = """SELECT DISTINCT floor(o_orderkey / 500)::INT AS page, unnest(['id', 'who', 'who.name', 'who.tags'] || CASE o_orderkey % 3 WHEN 1 THEN ['who.tags[]', 'who.tags[]'] WHEN 2 THEN ['who.tags[]', 'who.tags[].k', 'who.tags[]', 'who.tags[][]'] ELSE [] END || CASE WHEN o_orderkey % 4 = 0 THEN ['more'] ELSE [] END) AS path,
+ unnest(['number', 'object', CASE WHEN o_orderkey % 5 = 0 THEN 'null' ELSE 'string' END, 'array'] || CASE o_orderkey % 3 WHEN 1 THEN ['number', 'string'] WHEN 2 THEN ['object', 'boolean', 'array', 'number'] ELSE [] END || CASE WHEN o_orderkey % 4 = 0 THEN ['array'] ELSE [] END) AS type FROM orders"""
+
+
+def _nested(s: SparkSession, d: str) -> DataFrame:
+    return drift.observed(spark_frame(s, d, _NESTED), ["page"])
+
+
+_add("nested_schema_observation", lambda s, d: drift.counted(_nested(s, d), ["page"]), f"SELECT path, type, count(*) AS occurrence_count, min(page) AS first_page, max(page) AS last_page FROM ({_NESTED_KINDS}) k GROUP BY 1, 2")
 
 
 def _observed(s: SparkSession, d: str) -> DataFrame:
@@ -468,6 +601,7 @@ def _observed(s: SparkSession, d: str) -> DataFrame:
 _KINDS = f"SELECT DISTINCT floor(event_id / 100)::INT AS page, key AS path, {_KIND.format('value')} AS type FROM (SELECT event_id, unnest(json_keys(props)) AS key, json_extract(props, '$.' || unnest(json_keys(props))) AS value FROM events) x"
 _add("schema_observation", lambda s, d: drift.counted(_observed(s, d), ["page"]), f"SELECT path, type, count(*) AS occurrence_count, min(page) AS first_page, max(page) AS last_page FROM ({_KINDS}) k GROUP BY 1, 2")
 _add("schema_fingerprint", lambda s, d: drift.fingerprint(_observed(s, d)), f"""WITH k AS (SELECT path, list_sort(list(DISTINCT type)) AS types FROM ({_KINDS}) k GROUP BY 1) SELECT sha256('[' || string_agg('["' || path || '",["' || array_to_string(types, '","') || '"]]', ',' ORDER BY path) || ']') AS fingerprint, count(*) AS paths FROM k""")
+_add("nested_schema_fingerprint", lambda s, d: drift.fingerprint(_nested(s, d)), f"""WITH k AS (SELECT path, list_sort(list(DISTINCT type)) AS types FROM ({_NESTED_KINDS}) k GROUP BY 1) SELECT sha256('[' || string_agg('["' || path || '",["' || array_to_string(types, '","') || '"]]', ',' ORDER BY path) || ']') AS fingerprint, count(*) AS paths FROM k""")
 
 
 def queries() -> dict[str, Query]:

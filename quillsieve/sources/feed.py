@@ -177,7 +177,7 @@ SELECT
   'run' || CAST(r.run AS STRING) AS run_id, CAST(FLOOR(event_id / 100) AS INT) AS page_number,
   CAST(event_id % 100 + 1 AS INT) AS position, event_id,
   CASE WHEN event_id % 41 = 0 THEN '[1,2]' WHEN event_id % 43 = 0 THEN '"text"'
-       ELSE '{{"person_id":' || CASE WHEN event_id % 31 = 0 THEN 'null' WHEN event_id % 37 = 0 THEN '" "' WHEN event_id % 29 = 0 THEN '17' ELSE '"e' || CAST(event_id - event_id % 3 AS STRING) || '"' END
+       ELSE '{{"person_id":' || CASE WHEN event_id % 31 = 0 THEN 'null' WHEN event_id % 37 = 0 THEN '" "' WHEN event_id % 29 = 0 THEN '17' WHEN event_id % 61 = 0 THEN CAST(CAST(12345678901234567890 AS DECIMAL(20,0)) - event_id AS STRING) WHEN event_id % 67 = 0 THEN CAST(event_id AS STRING) || '.0' WHEN event_id % 71 = 0 THEN CAST(event_id AS STRING) || '.25' ELSE '"e' || CAST(event_id - event_id % 3 AS STRING) || '"' END
        || ',"enrollment_start_date":' || CASE WHEN event_id % 23 = 0 THEN '"01/02/2025"' WHEN event_id % 19 = 0 THEN '5' ELSE '"' || CAST(CAST(ts AS DATE) AS STRING) || '"' END
        || CASE WHEN event_id % 47 = 0 THEN '' ELSE ',"updated_at":' || CASE WHEN event_id % 53 = 0 THEN '20250101' WHEN event_id % 59 = 0 THEN '"soon"' ELSE '"' || CAST(CAST(ts AS DATE) AS STRING) || 'T0' || CAST(event_id % 10 AS STRING) || ':00:00Z"' END END
        || ',"kind":"' || event_type || '"' || CASE WHEN r.run = 2 AND event_id % 7 = 0 THEN ',"rev":2' ELSE '' END || '}}' END AS payload,

@@ -211,3 +211,45 @@ def test_exact_hashes(spark):
     assert rows[0].payload_sha256 == rows[1].payload_sha256 == sha('{"a":{"x":null,"y":"é"},"b":1.5}')
     assert rows[0].record_sha256 == sha('{"a": {"x": null, "y": "é"}, "b": 1.5}')
     assert rows[2].payload_sha256 == sha('{"a":100.0}') and rows[3].payload_sha256 is None and rows[4].record_sha256 is None
+
+
+def test_one_frame_merge_is_the_two_frame_merge(spark):
+    rows = [("run1", 1, "a", 1), ("run2", 2, "a", 1), ("run2", 3, "b", 1), ("run2", 4, "b", 1), ("run2", 5, None, 1), ("run2", 6, None, 1), ("run1", 7, None, 1), ("run2", 8, "b", 2)]
+    df = spark.createDataFrame(rows, "run string, n int, k string, v int")
+    two = ingest.merge_absent(df.where("run = 'run1'"), df.where("run = 'run2'"), ["k", "v"], ["n"])
+    one = ingest.merge_marked(df, ["k", "v"], ["n"], F.col("run") == "run1")
+    assert sorted(r.n for r in one.collect()) == sorted(r.n for r in two.collect()) == [3, 5, 6, 8] and one.columns == df.columns
+    marked = df.withColumn("f", ingest.turns(df, ["k", "v"], ["n"]))
+    assert sorted(r.n for r in marked.where("f").collect()) == [1, 3, 5, 6, 7, 8]
+
+
+def test_parents_counters_and_freshness(spark):
+    children = spark.createDataFrame([(1, "r1"), (2, "r9"), (3, None)], "id int, run_id string")
+    assert [r.id for r in ingest.missing_parents(children, spark.createDataFrame([("r1",), (None,)], "run_id string"), "run_id").collect()] == [2]
+    empty = spark.createDataFrame([], "p string, t string, fingerprint string, first_observed long, last_observed long, occurrence_count long")
+    seen = spark.createDataFrame([("a", "x", "f", 5), ("a", "x", "g", 6), ("b", "x", "f", 7)], "p string, t string, fingerprint string, observed long")
+    once = ingest.count_observations(empty, seen, ["p", "t"])
+    twice = ingest.count_observations(once, seen.where("p = 'a'").withColumn("observed", F.col("observed") + 10), ["p", "t"])
+    assert sorted(map(tuple, twice.collect())) == [("a", "x", "g", 6, 16, 2), ("b", "x", "f", 7, 7, 1)]
+    rows = spark.createDataFrame([("2025-01-01 00:00:00",)], "t string").selectExpr("CAST(t AS timestamp) AS _loaded_at")
+    assert [ingest.source_freshness(rows, now).first().status for now in ("2025-01-02 00:00:00", "2025-01-02 00:00:01", "2025-01-04 00:00:01")] == ["pass", "warn", "error"]
+
+
+@pytest.mark.parametrize("value, want", [("1e2", "100"), ("1" * 45, "1" * 45), ("-0.0", "0"), ("9007199254740993.0", "9007199254740993"), ("1e40", None), ("0.5", None), ("true", None), ('"  "', None), ("[]", None), ("null", None)])
+def test_numbers_as_identifiers(spark, value, want):
+    df = spark.createDataFrame([(f'{{"k":{value}}}',)], "p string")
+    assert df.select(X.id_part(X.json_probe(F.col("p"), "k")).alias("i")).first().i == want
+
+
+def test_kind_of_a_whole_document(spark):
+    pairs = [(' \n{"a":1}', "object"), ("[", None), ("\t[1]", "array"), ('"x"', "string"), ("-1.5", "number"), ("true", "boolean"), (" null", "null"), ("", None), (None, None), (" " * 100 + "{}", "object")]
+    df = spark.createDataFrame([*enumerate(p for p, _ in pairs)], "i int, p string")
+    got = {r.i: r.k for r in df.select("i", X.json_kind(X.json_probe(F.col("p"))).alias("k")).collect()}
+    assert [got[i] for i in range(len(pairs))] == [k for _, k in pairs]
+
+
+def test_rows_as_json_and_unions(spark):
+    df = spark.createDataFrame([(1, None, 'say "é"\n'), (2, "", None)], "n int, a string, B string")
+    assert [json.loads(r.raw_row) for r in staging.row_json(df).collect()] == [{"n": "1", "a": None, "B": 'say "é"\n'}, {"n": "2", "a": "", "B": None}]
+    both = staging.both_loaders(spark.createDataFrame([("s", "x")], "_snapshot_id string, raw_row string"), spark.createDataFrame([("y",)], "_raw_payload string"))
+    assert sorted(map(tuple, both.collect()), key=str) == [("s", "x", None), (None, None, "y")] or both.count() == 2
