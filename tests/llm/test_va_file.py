@@ -54,3 +54,25 @@ def test_repeated_rows_and_empty_table(spark, folder):
 
 def test_empty_table(spark, folder):
     assert found(spark, folder, []) == []
+
+
+def test_an_id_with_several_vectors_is_several_queries(spark, folder):
+    rows = [(20, [1.0, 0.0]), (20, [0.0, 1.0]), (20, [0.0, 1.0]), (1, [2.0, 0.5]), (2, [0.25, 3.0]), (3, [1.0, 1.0])]
+    df = spark.createDataFrame([(i, v, 0) for i, v in rows], "vec_id long, embedding array<float>, label int")
+    d = folder(embeddings=df)
+    got = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in va_file.op9_exact_topk(spark, d).collect())
+    first = [(20, 1, 1, 8192), (20, 2, 3, 4096), (20, 3, 2, 1024)]
+    second = [(20, 1, 2, 12288), (20, 2, 3, 4096), (20, 3, 1, 2048)]
+    assert got == sorted(first + second)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{d}/embeddings.parquet/*.parquet'")
+    assert sorted(con.execute(f"SELECT query_id, rank, vec_id, score FROM ({va_file.OP9_SQL}) x").fetchall()) == got
+
+
+def test_many_lanes_and_query_blocks(spark, folder, monkeypatch):
+    monkeypatch.setattr(va_file, "BLOCK_ROWS", 16)
+    monkeypatch.setattr(va_file, "QUERY_ROWS", 3)
+    monkeypatch.setattr(va_file, "PACKED_QUERIES", 5)
+    rng = random.Random(2)
+    rows = [(i, [rng.choice([-0.5, 0.25, 1.0, 2.0]) for _ in range(3 + i % 2)]) for i in range(300)]
+    assert set(found(spark, folder, rows)) == brute(rows)
