@@ -4,9 +4,14 @@ A source of n rows with target weight w gets the mean repetition rate w * total
 inverse of that Poisson distribution at a number in [0, 1) that is hashed from seed, id and text; the document is
 exploded by its count, and the copies are shuffled globally by a seeded hash.
 
+The inverse is searched, not looked up: from a count that is twelve deviations below the mean, probabilities are
+multiplied up and added until they pass the number. A source carries four numbers for that, whatever its rate, and a
+document takes some 24 * sqrt(rate) + 60 steps, which for high rates is far less than its copies.
+
 Defined cases: a null source is a source of its own (given as None in the weights). A source without a weight, when
-weights are given, has weight 0. Null ids and texts hash as empty texts. Repeated rows share their draw. An empty table
-gives an empty result. Input columns named like an output column are replaced.
+weights are given, has weight 0. Null ids and texts hash as empty texts; texts of any length are hashed and copied
+whole. Repeated rows share their draw, and so do their copies' places in the mix. An empty table gives an empty result.
+Input columns named like an output column are replaced.
 """
 
 from __future__ import annotations
@@ -14,12 +19,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillsieve.functions.exprs import let
 from quillsieve.llm.common import free_name, table
-from quillsieve.llm.spans import prefixes
 
-#: Sources up to this number are broadcast with their rates; more are joined with salted keys.
-BROADCAST_SOURCES, SALTS = 10_000, 64
+#: Sources whose names and numbers take up to this many bytes are broadcast; more are joined by shuffling, with salted keys.
+BROADCAST_BYTES, SALTS = 8_000_000, 64
 
 
 def unit(key: Column) -> Column:
@@ -27,13 +30,27 @@ def unit(key: Column) -> Column:
     return F.conv(F.substring(F.md5(key.cast("binary")), 1, 13), 16, 10).cast("double") / float(2**52)
 
 
-def poisson_table(rate: Column) -> Column:
-    """P(X <= k) for k = 0, 1, ... of a Poisson distribution, until what is left is far below 2**-52."""
-    last = (F.ceil(rate + 12 * F.sqrt(rate)) + 30).cast("int")
-    add, own = (lambda a, b: a + b), (lambda x: x)
-    steps = F.transform(F.sequence(F.lit(0), last), lambda k: F.when(k > 0, F.log(rate) - F.log(k.cast("double"))).otherwise(-rate))
-    summed = lambda v: F.zip_with(v["x"], prefixes(v["x"], own, add, F.lit(0.0)), add)
-    return let({"x": F.transform(let({"x": steps}, summed), lambda log_p: F.exp(log_p))}, summed)
+def _reach(rate: Column) -> Column:
+    """The counts that matter: below the first and above the last the probability is far under 2**-52."""
+    first = F.greatest(F.lit(0).cast("long"), F.floor(rate - 12 * F.sqrt(rate) - 30))
+    return F.sequence(first, F.ceil(rate + 12 * F.sqrt(rate)) + 30)
+
+
+def poisson_start(rate: Column) -> Column:
+    """The probability of the first count that matters, from the sum of all that do."""
+    step = lambda acc, k: F.struct((acc["w"] * rate / (k + 1)).alias("w"), (acc["sum"] + acc["w"]).alias("sum"))
+    return F.aggregate(_reach(rate), F.struct(F.lit(1.0).alias("w"), F.lit(0.0).alias("sum")), step, lambda acc: 1 / acc["sum"])
+
+
+def poisson_count(u: Column, rate: Column, start: Column) -> Column:
+    """The least k that matters with P(X <= k) > ``u``: how many counts have a distribution function of ``u`` at most."""
+    zero = F.struct(u.alias("u"), start.alias("p"), F.lit(0.0).alias("upto"), F.element_at(_reach(rate), 1).alias("k"))
+
+    def step(acc: Column, k: Column) -> Column:
+        upto = acc["upto"] + acc["p"]
+        return F.struct(acc["u"].alias("u"), (acc["p"] * rate / (k + 1)).alias("p"), upto.alias("upto"), (acc["k"] + (upto <= acc["u"]).cast("long")).alias("k"))
+
+    return F.when(rate > 0, F.aggregate(_reach(rate), zero, step, lambda acc: acc["k"])).otherwise(F.lit(0).cast("long"))
 
 
 def rates(df: DataFrame, source_col: str, weights: dict | None, epochs: float) -> DataFrame:
@@ -58,23 +75,21 @@ def mix(df: DataFrame, weights: dict | None = None, epochs: float = 1.0, id_col:
     new = ("n_copies", "copy_no", "mix_key")
     keep = [c for c in df.columns if c.lower() not in new]
     by_source = rates(df, source_col, weights, epochs)
-    cdf = by_source.select("source", F.when(F.col("rate") > 0, poisson_table(F.col("rate"))).otherwise(F.array(F.lit(1.0))).alias("cdf"))
+    sources = by_source.select("source", "rate", F.when(F.col("rate") > 0, poisson_start(F.col("rate"))).alias("start"))
     row, text = free_name(df, "row"), lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
     drawn = df.select(
         F.struct(*keep).alias(row),
         F.col(source_col).alias("source"),
         F.concat_ws("|", F.lit(str(seed)), text(id_col), F.md5(text(text_col).cast("binary"))).alias("draw"),
     )
-    if by_source.count() <= BROADCAST_SOURCES:
-        paired = drawn.alias("d").join(F.broadcast(cdf).alias("r"), F.col("d.source").eqNullSafe(F.col("r.source")))
+    size = by_source.agg(F.coalesce(F.sum(F.coalesce(F.octet_length("source"), F.lit(0)) + 64), F.lit(0)).alias("bytes")).first()["bytes"]
+    if size <= BROADCAST_BYTES:
+        paired = drawn.alias("d").join(F.broadcast(sources).alias("r"), F.col("d.source").eqNullSafe(F.col("r.source")))
     else:
-        salted = cdf.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        salted = sources.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
         paired = drawn.withColumn("salt", F.pmod(F.xxhash64("draw"), F.lit(SALTS)).cast("int")).alias("d").join(salted.alias("r"), F.col("d.source").eqNullSafe(F.col("r.source")) & (F.col("d.salt") == F.col("r.salt")))
     # the number is the start of the fold, so that it is hashed once a row
-    drawn_count = F.aggregate(
-        "cdf", F.struct(unit(F.col("draw")).alias("u"), F.lit(0).cast("long").alias("k")), lambda acc, p: F.struct(acc["u"].alias("u"), (acc["k"] + (p <= acc["u"]).cast("long")).alias("k")), lambda acc: acc["k"]
-    )
-    counted = paired.select(row, "draw", drawn_count.alias("n_copies"))
+    counted = paired.select(row, "draw", poisson_count(unit(F.col("draw")), F.col("rate"), F.col("start")).alias("n_copies"))
     copies = counted.where(F.col("n_copies") > 0).withColumn("copy_no", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n_copies"))))
     keyed = copies.select(f"{row}.*", "n_copies", "copy_no", F.md5(F.concat_ws("|", F.lit("order"), "draw", F.col("copy_no").cast("string")).cast("binary")).alias("mix_key"))
     return keyed.repartition("mix_key").sortWithinPartitions("mix_key")

@@ -1,4 +1,5 @@
 import math
+from statistics import NormalDist
 
 import duckdb
 import pytest
@@ -29,13 +30,33 @@ def inverse(u, rate):
     return k
 
 
-@pytest.mark.parametrize("rate", [0.01, 1.0, 7.5, 900.0, 30_000.0])
+def counts(spark, rate, numbers):
+    df = spark.createDataFrame([(u,) for u in numbers], "u double")
+    rate = F.lit(float(rate))
+    return [r.k for r in df.select(mixing.poisson_count(F.col("u"), rate, mixing.poisson_start(rate)).alias("k")).collect()]
+
+
+@pytest.mark.parametrize("rate", [0.01, 1.0, 7.5, 150.0, 201.0, 600.0])
 def test_poisson_inverse(spark, rate):
-    cdf = spark.range(1).select(mixing.poisson_table(F.lit(rate)).alias("c")).first().c
-    assert abs(cdf[-1] - 1) < 1e-9
-    if rate < 700:
-        for u in (0.0, 0.1, 0.5, 0.9, 0.999):
-            assert sum(c <= u for c in cdf) == inverse(u, rate)
+    numbers = [1e-15, 1e-9, 0.1, 0.25, 0.5, 0.77, 0.9, 0.999, 1 - 1e-9]
+    assert counts(spark, rate, numbers) == [inverse(u, rate) for u in numbers]
+
+
+@pytest.mark.parametrize("rate", [3e4, 1e6, 1e9])
+def test_high_rates(spark, rate):
+    """Against the quantiles of the normal distribution with a correction for skewness, which are off by well under 1 here."""
+    numbers = [1e-6, 0.01, 0.3, 0.5, 0.8, 0.99, 1 - 1e-6]
+    z = [NormalDist().inv_cdf(u) for u in numbers]
+    want = [rate + x * math.sqrt(rate) + (x * x - 1) / 6 for x in z]
+    assert all(abs(k - w) <= 1 for k, w in zip(counts(spark, rate, numbers), want, strict=True))
+
+
+def test_ten_thousand_single_document_sources(spark):
+    """The sources' rows have a fixed size, and the mix has as many rows as asked for, a third of them from one source."""
+    rows = spark.range(30_000).select(F.col("id").alias("doc_id"), F.lit("t").alias("text"), F.when(F.col("id") < 10_000, F.concat(F.lit("s"), "id")).otherwise(F.lit("hot")).alias("source"))
+    out = mixing.mix(rows).groupBy((F.col("source") == "hot").alias("hot")).agg(F.count(F.lit(1)).alias("n")).collect()
+    n = {r.hot: r.n for r in out}
+    assert abs(n[False] - 30_000) < 900 and n[True] < 20  # each of 10,001 sources gets three rows in the mean
 
 
 def test_weights_and_hot_source(spark):
@@ -50,7 +71,7 @@ def test_weights_and_hot_source(spark):
 def test_many_sources_take_the_salted_join(spark, monkeypatch):
     df = spark.createDataFrame([(i, f"t{i}", "en", None if i % 5 == 0 else f"s{i % 5}", 1) for i in range(500)], DOCS)
     want = sorted((r.doc_id, r.copy_no) for r in mixing.mix(df).collect())
-    monkeypatch.setattr(mixing, "BROADCAST_SOURCES", 0)
+    monkeypatch.setattr(mixing, "BROADCAST_BYTES", -1)
     assert sorted((r.doc_id, r.copy_no) for r in mixing.mix(df).collect()) == want
 
 
