@@ -6,13 +6,18 @@ in Gray code, so a place gives one packed 32-bit integer. Two recordings align w
 the same number of frames apart: a histogram of those offsets proposes some, the most voted first, and the share of
 differing bits along the overlap accepts one.
 
-Recordings with equal fingerprints form a class, and a search compares queries with one recording of each class, in
-blocks of queries against blocks of recordings.
+Recordings with equal fingerprints form a class, and a search compares queries with one recording of each class: a task
+holds a few blocks of recordings, and blocks of queries stream past them. Blocks are bounded by their codes as well as
+by their recordings. Votes are counted for all recordings of a block at once while their pairs of equal codes are few;
+where they are many (silence, drones), recording by recording, and there a code that is frequent on both sides is
+counted for all offsets at once by a Fourier transform, so time and memory do not grow with the product of its counts.
 
 Defined cases: audio that is null or shorter than a frame has no frames; a fingerprint needs ``SPAN`` frames, and a
-recording without integers belongs to no class and matches nothing. Silence has all-equal integers. Repeated rows share
-a class. Ties go to the lower bit error and then the smaller class. An empty table gives an empty result. Input columns
-named like an output column are replaced.
+recording without integers belongs to no class and matches nothing. Silence has all-equal integers. Long audio is
+transformed in slices of frames and fingerprinted whole. Repeated rows share a class. An id with several recordings asks
+with each of them, and gets of each class the alignment with the lowest bit error, then the most votes. Other ties go to
+the lower bit error and then the smaller class. An empty table gives an empty result. Input columns named like an output
+column are replaced.
 """
 
 from __future__ import annotations
@@ -26,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quillsieve.llm.common import free_name, table, written
+from quillsieve.llm.common import free_name, met, table, written
 
 #: Samples a second, samples in a frame and between frames, lowest and highest pitch in Hz.
 RATE, FRAME, HOP, LOWEST, HIGHEST = 2048, 512, 128, 100.0, 1000.0
@@ -34,8 +39,13 @@ RATE, FRAME, HOP, LOWEST, HIGHEST = 2048, 512, 128, 100.0, 1000.0
 SPAN, LEVEL = 16, 0.12
 #: Votes for an offset, overlap in integers, and the highest share of differing bits of an accepted alignment.
 LEAST_VOTES, LEAST_OVERLAP, MOST_ERROR = 4, 16, 0.25
-#: Recordings and queries in a block, and partitions of blocks at most.
-BLOCK, QUERIES, MOST_LANES = 1024, 256, 4096
+#: Recordings and queries in a block, integers in a block at most (but for a single longer recording), and blocks of
+#: recordings that a task holds, about.
+BLOCK, QUERIES, BLOCK_CODES, LANE_BLOCKS = 1024, 256, 1_000_000, 4
+#: Pairs of equal integers that are counted at once, and the pairs of one integer from which a Fourier transform counts them.
+PAIRS, HOT = 2_000_000, 100_000
+#: Frames that are transformed at once.
+SLICE_FRAMES = 8192
 
 
 def filters() -> list[tuple[int, int, int, int]]:
@@ -52,13 +62,13 @@ def chroma(pcm: np.ndarray, rate: int = RATE) -> np.ndarray:
     n = max(0, (len(pcm) - FRAME) // HOP + 1)
     if not n:
         return np.zeros((0, 12))
-    frames = np.lib.stride_tricks.sliding_window_view(pcm.astype(np.float32), FRAME)[::HOP][:n]
-    power = np.abs(np.fft.rfft(frames * np.hanning(FRAME).astype(np.float32), axis=1)) ** 2
+    frames = np.lib.stride_tricks.sliding_window_view(pcm, FRAME)[::HOP][:n]
     hz = np.fft.rfftfreq(FRAME, 1 / rate)
     used = (hz >= LOWEST) & (hz <= HIGHEST)
     fold = np.zeros((len(hz), 12), dtype=np.float32)
     fold[np.nonzero(used)[0], np.round(12 * np.log2(hz[used] / 440.0)).astype(int) % 12] = 1
-    out = power @ fold
+    window = np.hanning(FRAME).astype(np.float32)
+    out = np.concatenate([np.abs(np.fft.rfft(frames[i : i + SLICE_FRAMES].astype(np.float32) * window, axis=1)) ** 2 @ fold for i in range(0, n, SLICE_FRAMES)])
     return out / np.maximum(np.sqrt((out**2).sum(axis=1, keepdims=True)), 1e-6)
 
 
@@ -115,11 +125,16 @@ def _blocks(rows: int):
         lane = TaskContext.get().partitionId()
         for batch in batches:
             ids, codes = batch.column("id").to_pylist(), batch.column("codes").to_pylist()
-            for i in range(0, len(ids), rows):
-                part = codes[i : i + rows]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lane], pa.int32()), pa.array([ids[i : i + rows]], pa.list_(pa.int64())), pa.array([[len(c) // 4 for c in part]], pa.list_(pa.int32())), pa.array([b"".join(part)], pa.binary())], names=["lane", "ids", "sizes", "codes"]
-                )
+            start = total = 0
+            for i, c in enumerate([*codes, None]):
+                if i > start and (c is None or i - start == rows or total + len(c) // 4 > BLOCK_CODES):
+                    part = codes[start:i]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([lane], pa.int32()), pa.array([ids[start:i]], pa.list_(pa.int64())), pa.array([[len(x) // 4 for x in part]], pa.list_(pa.int32())), pa.array([b"".join(part)], pa.binary())],
+                        names=["lane", "ids", "sizes", "codes"],
+                    )
+                    start, total = i, 0
+                total += len(c or b"") // 4
 
     return run
 
@@ -127,23 +142,62 @@ def _blocks(rows: int):
 _ones = np.array([bin(i).count("1") for i in range(256)], dtype=np.int64)
 
 
-def offsets(query: np.ndarray, order: np.ndarray, values: np.ndarray, owner: np.ndarray, place: np.ndarray) -> list[tuple[int, int, int]]:
-    """(recording, offset, votes) of every offset with ``LEAST_VOTES``, by recording and the most voted first.
+def _paired(query: np.ndarray, rec: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Offsets of one recording that have votes, and the votes, in memory bounded by ``PAIRS`` and the two lengths."""
+    base = len(query) - 1  # the offset o is counted at o + base
+    votes = np.zeros(len(query) + len(rec) - 1, dtype=np.int64)
+    by_query, by_rec = np.argsort(query, kind="stable"), np.argsort(rec, kind="stable")
+    values, first, times = np.unique(query[by_query], return_index=True, return_counts=True)
+    low, high = np.searchsorted(rec[by_rec], values, "left"), np.searchsorted(rec[by_rec], values, "right")
+    pairs = times * (high - low)
+    for v in np.nonzero(pairs >= HOT)[0]:
+        size = 1 << (len(votes) - 1).bit_length()
+        a, b = np.zeros(size), np.zeros(size)
+        a[base - by_query[first[v] : first[v] + times[v]]] = 1
+        b[by_rec[low[v] : high[v]]] = 1
+        votes += np.rint(np.fft.irfft(np.fft.rfft(a) * np.fft.rfft(b), size)[: len(votes)]).astype(np.int64)
+    few = np.nonzero((pairs > 0) & (pairs < HOT))[0]
+    for cut in np.split(few, np.nonzero(np.diff(np.cumsum(pairs[few]) // PAIRS))[0] + 1):
+        if len(cut):
+            which = np.repeat(cut, pairs[cut])
+            turn = np.arange(len(which)) - np.repeat(np.cumsum(pairs[cut]) - pairs[cut], pairs[cut])
+            wide = (high - low)[which]
+            votes += np.bincount(by_rec[low[which] + turn % wide] - by_query[first[which] + turn // wide] + base, minlength=len(votes))
+    (at,) = np.nonzero(votes)
+    return at - base, votes[at]
+
+
+def voted(query: np.ndarray, order: np.ndarray, values: np.ndarray, owner: np.ndarray, place: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Each recording with its offsets of ``LEAST_VOTES`` or more votes, and these votes, the most voted first.
 
     ``values`` are all codes in order.
     """
     low, high = np.searchsorted(values, query, "left"), np.searchsorted(values, query, "right")
     times = high - low
-    if not times.sum():
-        return []
-    which = np.repeat(np.arange(len(query)), times)
-    at = order[np.repeat(low - (np.cumsum(times) - times), times) + np.arange(int(times.sum()))]
-    span = np.int64(1 << 31)
-    keys, votes = np.unique(owner[at] * (2 * span) + (place[at] - which + span), return_counts=True)
-    rec, offset = keys // (2 * span), keys % (2 * span) - span
-    some = np.nonzero(votes >= LEAST_VOTES)[0]
-    best = some[np.lexsort((offset[some], -votes[some], rec[some]))]
-    return list(zip(rec[best].tolist(), offset[best].tolist(), votes[best].tolist(), strict=True))
+    if 0 < times.sum() <= PAIRS:
+        which = np.repeat(np.arange(len(query)), times)
+        at = order[np.repeat(low - (np.cumsum(times) - times), times) + np.arange(int(times.sum()))]
+        span = np.int64(1 << 31)
+        keys, votes = np.unique(owner[at] * (2 * span) + (place[at] - which + span), return_counts=True)
+        keys, votes = keys[votes >= LEAST_VOTES], votes[votes >= LEAST_VOTES]
+        recs, firsts = np.unique(keys // (2 * span), return_index=True)
+        for rec, a, b in zip(recs.tolist(), firsts, [*firsts[1:], len(keys)][: len(recs)], strict=True):
+            best = np.lexsort((keys[a:b], -votes[a:b]))
+            yield rec, keys[a:b][best] % (2 * span) - span, votes[a:b][best]
+    elif times.sum():
+        codes = np.empty(len(values), dtype=values.dtype)
+        codes[order] = values
+        ends = np.nonzero(np.diff(owner))[0] + 1
+        for a, b in zip([0, *ends], [*ends, len(codes)], strict=True):
+            offset, votes = _paired(query, codes[a:b])
+            offset, votes = offset[votes >= LEAST_VOTES], votes[votes >= LEAST_VOTES]
+            best = np.lexsort((offset, -votes))
+            yield int(owner[a]), offset[best], votes[best]
+
+
+def offsets(query: np.ndarray, order: np.ndarray, values: np.ndarray, owner: np.ndarray, place: np.ndarray) -> list[tuple[int, int, int]]:
+    """(recording, offset, votes) of everything that ``voted`` gives."""
+    return [(rec, *x) for rec, o, v in voted(query, order, values, owner, place) for x in zip(o.tolist(), v.tolist(), strict=True)]
 
 
 def best_offset(query: np.ndarray, order: np.ndarray, values: np.ndarray, owner: np.ndarray, place: np.ndarray) -> list[tuple[int, int, int]]:
@@ -161,45 +215,41 @@ def bit_error(a: np.ndarray, b: np.ndarray, offset: int) -> tuple[float, int]:
     return float(_ones[differ.view(np.uint8)].sum() / (32 * (end - start))), end - start
 
 
-def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for r in batch.to_pylist():
-            codes, sizes, ids = np.frombuffer(r["codes"], "<u4"), np.array(r["sizes"], dtype=np.int64), r["ids"]
-            starts = np.cumsum(sizes) - sizes
-            owner = np.repeat(np.arange(len(ids), dtype=np.int64), sizes)
-            place = np.arange(len(codes)) - starts[owner]
-            order = np.argsort(codes, kind="stable")
-            values = codes[order]
-            out, at = [], 0
-            for q, n in zip(r["q_ids"], r["q_sizes"], strict=True):
-                query = np.frombuffer(r["q_codes"], "<u4", n, 4 * at)
-                at += n
-                done = -1
-                for rec, offset, votes in offsets(query, order, values, owner, place):
-                    if rec == done:
-                        continue
-                    error, overlap = bit_error(query, codes[starts[rec] : starts[rec] + sizes[rec]], offset)
-                    if error <= MOST_ERROR and overlap >= min(LEAST_OVERLAP, n):
-                        out.append((q, ids[rec], offset, votes, overlap, error))
-                        done = rec
-            columns = list(zip(*out, strict=True)) or [()] * 6
-            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.float64()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["query_id", "id", "offset", "votes", "overlap", "bit_error"])
+def _aligned(block: dict, asked: dict) -> pa.RecordBatch:
+    codes, sizes, ids = np.frombuffer(block["codes"], "<u4"), np.array(block["sizes"], dtype=np.int64), block["ids"]
+    starts = np.cumsum(sizes) - sizes
+    owner = np.repeat(np.arange(len(ids), dtype=np.int64), sizes)
+    place = np.arange(len(codes)) - starts[owner]
+    order = np.argsort(codes, kind="stable")
+    values = codes[order]
+    out, at = [], 0
+    for q, n in zip(asked["ids"], asked["sizes"], strict=True):
+        query = np.frombuffer(asked["codes"], "<u4", n, 4 * at)
+        at += n
+        for rec, offset, votes in voted(query, order, values, owner, place):
+            for o, v in zip(offset, votes, strict=True):
+                error, overlap = bit_error(query, codes[starts[rec] : starts[rec] + sizes[rec]], int(o))
+                if error <= MOST_ERROR and overlap >= min(LEAST_OVERLAP, n):
+                    out.append((q, ids[rec], int(o), int(v), overlap, error))
+                    break
+    columns = list(zip(*out, strict=True)) or [()] * 6
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.float64()]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["query_id", "id", "offset", "votes", "overlap", "bit_error"])
 
 
 def align(queries: DataFrame, recordings: DataFrame) -> DataFrame:
     """Every pair of ``queries`` and ``recordings`` (both id, codes) with an accepted alignment, the most voted of these.
 
-    The offset is of the query's start.
+    The offset is of the query's start. An id with several recordings among the queries has its pairs for each of them.
     """
     some = lambda df: df.where("id IS NOT NULL AND octet_length(codes) > 0").select(F.col("id").cast("long").alias("id"), "codes")
     layout = "lane int, ids array<bigint>, sizes array<int>, codes binary"
     recordings, queries = some(recordings), some(queries)
-    lanes = min(MOST_LANES, max(1, math.ceil(recordings.count() / BLOCK)))
+    parts = lambda df, rows: df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length("codes")), F.lit(0)).alias("b")).select(F.greatest(F.lit(1), F.ceil(F.col("n") / rows), F.ceil(F.col("b") / (4 * BLOCK_CODES))).alias("parts")).first()["parts"]
+    lanes = math.ceil(parts(recordings, BLOCK) / LANE_BLOCKS)
     blocks = written(recordings.repartition(lanes).mapInArrow(_blocks(BLOCK), layout), "recordings")
-    asked = queries.repartition(min(MOST_LANES, max(1, math.ceil(queries.count() / QUERIES)))).mapInArrow(_blocks(QUERIES), layout)
-    sent = written(asked, "queries").select(*[F.col(c).alias(f"q_{c}") for c in ("ids", "sizes", "codes")]).withColumn("lane", F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))))
-    return blocks.join(sent, "lane").mapInArrow(_aligned, "query_id long, id long, offset int, votes int, overlap int, bit_error double")
+    asked = written(queries.repartition(parts(queries, QUERIES)).mapInArrow(_blocks(QUERIES), layout), "queries").drop("lane")
+    return met(blocks, asked, lanes, _aligned, "query_id long, id long, offset int, votes int, overlap int, bit_error double")
 
 
 def melody(vector: np.ndarray, note: int = 256) -> np.ndarray:
@@ -245,8 +295,10 @@ def op2_chroma(spark, sf_dir: str) -> DataFrame:
     prints = written(fingerprint(recorded(rows), drop_audio=True), "fingerprints").select("id", "n_frames", "codes", F.unhex(F.md5("codes")).alias("key"))
     groups = prints.where(F.octet_length("codes") > 0).groupBy("key").agg(F.min("id").alias("class_id"), F.count(F.lit(1)).alias("n_copies"), F.first("codes").alias("codes"))
     groups = written(groups, "classes")
-    clips = fingerprint(recorded(rows.where(F.col("id") % 50 == 0).dropDuplicates(["id"]), clip=True), drop_audio=True).select("id", "codes")
-    found = align(clips, groups.select(F.col("class_id").alias("id"), "codes"))
+    clips = fingerprint(recorded(rows.where(F.col("id") % 50 == 0).distinct(), clip=True), drop_audio=True).select("id", "codes")
+    pairs = align(clips, groups.select(F.col("class_id").alias("id"), "codes"))
+    fit = F.struct("bit_error", (-F.col("votes")).alias("order"), "offset")
+    found = pairs.groupBy("query_id", "id").agg(F.min_by(F.struct("offset", "votes", "overlap", "bit_error"), fit).alias("one")).select("query_id", "id", "one.*")
     each = F.struct((-F.col("votes")).alias("order"), "bit_error", F.col("id").alias("match_class"), "offset", "votes", "overlap")
     fields = ["match_class", "offset", "votes", "overlap", "bit_error"]
     matches = F.transform(F.array_sort(F.collect_list(each)), lambda m: F.struct(*[m[c].alias(c) for c in fields]))

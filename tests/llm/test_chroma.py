@@ -1,3 +1,6 @@
+import time
+import tracemalloc
+
 import numpy as np
 
 from quillsieve.llm import chroma as C
@@ -98,3 +101,98 @@ def test_next_offset_is_tried(spark):
     frame = lambda codes: spark.createDataFrame([(1, bytearray(codes.tobytes()))], "id long, codes binary")
     got = [(r.offset, r.bit_error <= C.MOST_ERROR) for r in C.align(frame(query), frame(rec)).collect()]
     assert got == [(100, True)]
+
+
+def test_votes_of_frequent_codes(monkeypatch):
+    """All three ways of counting give the votes of every pair of equal codes."""
+    rng = np.random.default_rng(9)
+    recs = [rng.choice([7, 7, 7, 7, 8, 9, 10, 11], n).astype("<u4") for n in (90, 40, 130, 1)] + [np.full(70, 7, dtype="<u4")]
+    query = rng.choice([7, 7, 7, 8, 9, 12], 60).astype("<u4")
+    codes, owner = np.concatenate(recs), np.repeat(np.arange(len(recs)), [len(r) for r in recs])
+    place = np.concatenate([np.arange(len(r)) for r in recs])
+    order = np.argsort(codes, kind="stable")
+    want = {}
+    for r, rec in enumerate(recs):
+        for i, a in enumerate(query):
+            for j in np.nonzero(rec == a)[0]:
+                want[r, j - i] = want.get((r, j - i), 0) + 1
+    want = {k: v for k, v in want.items() if v >= C.LEAST_VOTES}
+    for pairs, hot in ((10**9, 10**9), (100, 10**9), (100, 50), (100, 1)):
+        monkeypatch.setattr(C, "PAIRS", pairs)
+        monkeypatch.setattr(C, "HOT", hot)
+        got = C.offsets(query, order, codes[order], owner, place)
+        assert {(r, o): v for r, o, v in got} == want and len(got) == len(want)
+        assert got == sorted(got, key=lambda x: (x[0], -x[2], x[1]))
+
+
+def test_thousand_silent_recordings():
+    """Recordings of one code in different lengths, and one of an hour, within bounded memory and time."""
+    sizes = np.array([1000 + i for i in range(1000)] + [57_600])
+    block = {"codes": np.full(sizes.sum(), 5, dtype="<u4").tobytes(), "sizes": sizes.tolist(), "ids": list(range(len(sizes)))}
+    asked = {"ids": [1, 2], "sizes": [2000, 57_600], "codes": np.full(59_600, 5, dtype="<u4").tobytes()}
+    began = time.monotonic()
+    tracemalloc.start()
+    got = C._aligned(block, asked).to_pydict()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got["query_id"].count(1) == got["query_id"].count(2) == len(sizes)
+    assert time.monotonic() - began < 240 and peak < 1_000_000_000
+
+
+def test_long_audio_in_slices(monkeypatch):
+    pcm = np.random.default_rng(1).integers(-9000, 9000, C.HOP * 300 + C.FRAME).astype("<i2")
+    whole = C.chroma(pcm)
+    monkeypatch.setattr(C, "SLICE_FRAMES", 7)
+    assert np.allclose(C.chroma(pcm), whole, atol=1e-5) and len(whole) == 301
+
+
+def test_blocks_are_bounded_by_codes(spark, monkeypatch):
+    monkeypatch.setattr(C, "BLOCK_CODES", 100)
+    monkeypatch.setattr(C, "BLOCK", 4)
+    rng = np.random.default_rng(8)
+    recs = [(i, bytearray(rng.integers(0, 2**32, n).astype("<u4").tobytes())) for i, n in enumerate([30] * 20 + [500, 40, 40])]
+    df = spark.createDataFrame(recs, "id long, codes binary")
+    got = {(r.query_id, r.id, r.offset, r.votes) for r in C.align(df, df).collect()}
+    assert got == {(i, i, 0, len(c) // 4) for i, c in recs}
+
+
+def test_one_id_with_several_recordings(spark, folder):
+    rng = np.random.default_rng(5)
+    a, b = rng.normal(size=64).tolist(), rng.normal(size=64).tolist()
+    vectors = spark.createDataFrame([(0, a, 0), (0, b, 0), (1, a, 0), (2, b, 0), (0, a, 0)], "vec_id long, embedding array<double>, label int")
+    got = [r for r in C.op2_chroma(spark, folder(embeddings=vectors)).collect() if r.vec_id == 0]
+    # the two recordings have classes of their own, 0 for both by the least id, and both are found
+    assert len(got) == 3 and got[0].matches == got[1].matches == got[2].matches
+    assert sorted(r.n_copies for r in got) == [2, 3, 3] and {m.match_class for m in got[0].matches} == {0}
+
+
+def test_classes_and_matches_against_brute_force(spark, folder):
+    """Every class and every accepted alignment of the query, by plain loops over all pairs."""
+    rng = np.random.default_rng(12)
+    base = [rng.normal(size=48) for _ in range(12)]
+    vectors = [(i, base[i % 12].tolist() if i % 5 else np.concatenate([base[i % 12][:24], rng.normal(size=24)]).tolist(), 0) for i in range(110)]
+    rows = {r.vec_id: r for r in C.op2_chroma(spark, folder(embeddings=spark.createDataFrame(vectors, "vec_id long, embedding array<double>, label int"))).collect()}
+    codes = {i: C.packed(C.chroma(C.melody(np.array(v)))) for i, v, _ in vectors}
+    least = {}
+    for i in sorted(codes):
+        least.setdefault(codes[i].tobytes(), i)
+    for i, c in codes.items():
+        assert rows[i].class_id == least[c.tobytes()] and rows[i].n_codes == len(c)
+        assert rows[i].n_copies == sum(x.tobytes() == c.tobytes() for x in codes.values())
+    for q in (0, 50, 100):
+        sound = C.melody(np.array(dict((i, v) for i, v, _ in vectors)[q]))
+        part = sound[len(sound) // 4 : 3 * len(sound) // 4].astype(float)
+        part = np.clip(np.round(part + np.random.default_rng(q).normal(0, 200, size=len(part))), -32768, 32767).astype("<i2")
+        query, want = C.packed(C.chroma(part)), {}
+        for k in least.values():
+            votes = {}
+            for i, x in enumerate(query):
+                for j in np.nonzero(codes[k] == x)[0]:
+                    votes[int(j) - i] = votes.get(int(j) - i, 0) + 1
+            for o, v in sorted(votes.items(), key=lambda x: (-x[1], x[0])):
+                both = [(x, codes[k][i + o]) for i, x in enumerate(query) if 0 <= i + o < len(codes[k])]
+                error = sum(int(x ^ y).bit_count() for x, y in both) / (32 * len(both))
+                if v >= C.LEAST_VOTES and error <= C.MOST_ERROR and len(both) >= min(C.LEAST_OVERLAP, len(query)):
+                    want[k] = (o, v, len(both))
+                    break
+        assert {m.match_class: (m.offset, m.votes, m.overlap) for m in rows[q].matches or []} == want and want
