@@ -7,8 +7,11 @@ personal ones are known, score it; a threshold for each generator is calibrated
 seen, for a precision of ``PRECISION``. Candidates from the threshold up are selected where no base span or
 other such candidate that starts before them covers their start. The trees become one expression, so scoring stays in the engine.
 
-Defined cases: a null text is an empty text and has no spans. Rows are independent: repeated rows give equal spans.
-Columns of the input named like an output column are replaced.
+Defined cases: a null text is an empty text and has no spans. Texts are scanned whole, however long, and so are runs of
+any length (patterns do not back up over a run's characters). Base spans may overlap; spans that start together are in
+the order of the kinds, and an added span that ties with a base span's start inside it goes. Rows are independent:
+repeated rows give equal spans, and an empty table gives an empty result. Columns of the input named like an output column
+are replaced.
 """
 
 from __future__ import annotations

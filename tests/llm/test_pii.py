@@ -103,3 +103,41 @@ def test_prefilters_pass_every_candidate(spark, model):
             assert all(r.n == 1 for r in made), made
     found = pii.scan(df.where("doc_id IN (1, 2)"), model).collect()
     assert all([s["token"] for s in r.personal] == [r.text] for r in found), found
+
+
+PERSONAL = [  # written otherwise than the snippets that the trees learn from
+    lambda d: f"You can ring me on mobile 0{d(3)} {d(3)} {d(4)} any time", lambda d: f"Fax ({d(3)}) {d(3)} {d(4)}", lambda d: f"my social security number is {d(3)}-{d(2)}-{d(4)}, she said",
+    lambda d: f"IBAN: GB{d(2)} {d(4)} {d(4)} {d(4)} {d(4)} {d(2)}", lambda d: f"pay into account FR{d(22)}", lambda d: f"reach Ann under ann{d(2)} at mailbox dot org", lambda d: f"or mail to bob.k{d(1)} [at] example [dot] net please",
+    lambda d: f"device 00:1b:{d(2)}:{d(2)}:a{d(1)}:{d(2)} was seen", lambda d: f"passport no {d(9)} was lost", lambda d: f"call {d(3)}.{d(3)}.{d(4)} now",
+]
+OTHERS = [
+    lambda d: f"order 4{d(8)} was sent", lambda d: f"on 20{d(2)}-0{rng_month(d)}-1{d(1)} it rained", lambda d: f"ISBN 978-{d(1)}-{d(3)}-{d(5)}-{d(1)}", lambda d: f"version {d(1)}.{d(2)}.{d(5)} is out", lambda d: f"it cost about {d(4)}.{d(5)}",
+    lambda d: f"see pages {d(2)} {d(2)} {d(3)} {d(3)}", lambda d: f"ticket {d(10)} is open", lambda d: f"hash {d(4)}:{d(4)}:{d(4)}:{d(4)}:{d(4)}:{d(4)}",
+]
+
+
+def rng_month(d):
+    return str(int(d(1)) % 9 + 1)
+
+
+def test_planted_spans_in_documents(spark, model):
+    """Precision and recall of the added spans over real documents, into each of which one phrase is planted."""
+    rng = random.Random(21)
+    d = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    docs = [r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("length(text) > 50").orderBy("doc_id").collect()]
+    rows, kinds = [], {}
+    for i, text in enumerate(docs):
+        personal = i % 2
+        phrase = rng.choice(PERSONAL if personal else OTHERS)(d)
+        cut = text.find(" ", rng.randrange(len(text)))
+        cut = len(text) if cut < 0 else cut
+        rows.append((i, f"{text[:cut]} {phrase} {text[cut:]}"))
+        kinds[i] = (personal, cut + 1, cut + 1 + len(phrase))
+    hit = [0, 0]
+    for r in pii.scan(spark.createDataFrame(rows, "doc_id long, text string"), model).collect():
+        personal, a, b = kinds[r.doc_id]
+        hit[personal] += any(s["rank"] == 4 and s["start"] < b and s["end"] > a for s in r.personal)
+    total = [sum(p == k for p, _, _ in kinds.values()) for k in (0, 1)]
+    recall, precision = hit[1] / total[1], hit[1] / (hit[0] + hit[1])
+    print(f"planted in {len(docs)} documents: recall {recall:.3f}, precision {precision:.3f}")
+    assert recall > 0.8 and precision > 0.9
