@@ -37,6 +37,12 @@ def json_field(payload: Column, key: str) -> Column:
     return blank_to_null(F.get_json_object(payload, f"$.{key}"))
 
 
+def json_fields(payload: Column, keys: list[str]) -> Column:
+    """A struct of several fields as ``json_field`` gives them, from one parse of the payload."""
+    texts = F.from_json(payload, ", ".join(f"`{k}` string" for k in keys))
+    return let({"f": texts}, lambda v: F.struct(*[blank_to_null(v["f"][k]).alias(k) for k in keys]))
+
+
 def effective_payload(new: Column, old: Column) -> Column:
     """The one payload of a raw row, whichever loader wrote it."""
     return F.coalesce(new, old)

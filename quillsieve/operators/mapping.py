@@ -54,25 +54,39 @@ def rejected(rows: DataFrame) -> DataFrame:
     return dedup_exact(rows).withColumn("why", reject_reason()).where("why IS NOT NULL").select(*rows.columns, "why.reason", "why.field")
 
 
+def _row_hash(rows: DataFrame) -> list[Column]:
+    """128 bits of a row: two hashes of all values, with the places of the NULLs, which a hash passes over."""
+    nulls = F.concat(*[F.col(c).isNull().cast("int").cast("string") for c in rows.columns])
+    return [F.xxhash64(F.lit(seed), nulls, *rows.columns) for seed in (1, 2)]
+
+
+def _line_columns() -> dict[str, Column]:
+    text = {c: X.strip(F.col(c)) for c in ("member_key", "clm_status_code", "orig_clm_id", "bill_type_code", "place_of_service_code", "diag_type", "proc_type")}
+    made = {"claim_id": X.strip(F.col("clm_id")), "line_no": X.safe_integer(X.strip(F.col("line_no"))), "claim_type": X.claim_type(F.col("claim_form_code"), F.col("bill_type_code"), F.col("place_of_service_code"))}
+    amounts = {f"{c}_amount": X.cents_to_amount(F.col(f"{c}_cents")) for c in ("paid", "allowed", "charge")}
+    codes = {c: F.col(c) for c in [*DIAGNOSES, *[x for pair in PROCEDURES for x in pair]]}
+    return made | text | amounts | codes
+
+
+def lines(rows: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """Accepted claim lines with the given columns (all, if none are given): typed, and one of all equal raw rows.
+
+    Raw rows are told apart by 128 bits of all their texts, so that only the wanted columns are shuffled.
+    """
+    made = _line_columns()
+    wanted = columns or [*made]
+    hashes = [h.alias(f"row_hash_{i}") for i, h in enumerate(_row_hash(rows))]
+    return rows.where(reject_reason().isNull()).select(*hashes, *[made[c].alias(c) for c in wanted]).dropDuplicates().select(*wanted)
+
+
+def accepted_keys(rows: DataFrame) -> DataFrame:
+    """The member keys of accepted claim rows, with repeats; for questions that duplicates do not change."""
+    return rows.where(reject_reason().isNull()).select("member_key")
+
+
 def accepted(rows: DataFrame, members: DataFrame) -> DataFrame:
-    """Claim lines with resolved members, types and amounts; a member that does not resolve keeps its line."""
-    good = dedup_exact(rows).where(reject_reason().isNull())
-    text = lambda c: X.strip(F.col(c)).alias(c)
-    lines = good.select(
-        X.strip(F.col("clm_id")).alias("claim_id"),
-        X.safe_integer(X.strip(F.col("line_no"))).alias("line_no"),
-        text("member_key"),
-        text("clm_status_code"),
-        text("orig_clm_id"),
-        X.claim_type(F.col("claim_form_code"), F.col("bill_type_code"), F.col("place_of_service_code")).alias("claim_type"),
-        text("bill_type_code"),
-        text("place_of_service_code"),
-        *[X.cents_to_amount(F.col(f"{c}_cents")).alias(f"{c}_amount") for c in ("paid", "allowed", "charge")],
-        text("diag_type"),
-        text("proc_type"),
-        *[F.col(c) for c in [*DIAGNOSES, *[x for pair in PROCEDURES for x in pair]]],
-    )
-    return lines.join(members, "member_key", "left").withColumn("matched_member", F.col("person_id").isNotNull())
+    """``lines`` with resolved members; a member that does not resolve keeps its line."""
+    return lines(rows).join(members, "member_key", "left").withColumn("matched_member", F.col("person_id").isNotNull())
 
 
 def diagnoses(lines: DataFrame) -> DataFrame:
@@ -96,15 +110,18 @@ def grain_conflicts(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
-def surviving(lines: DataFrame) -> DataFrame:
-    """Lines without the originals that an adjustment replaces; voids stay and cancel."""
-    replaced = lines.where((F.col("clm_status_code") == ADJUSTMENT) & F.col("orig_clm_id").isNotNull()).select(F.col("orig_clm_id").alias("replaced")).distinct()
+def surviving(lines: DataFrame, adjustments: DataFrame | None = None) -> DataFrame:
+    """Lines without the originals that an adjustment replaces; voids stay and cancel.
+
+    ``adjustments`` may be a cheaper frame of the same claims, in which duplicates do no harm.
+    """
+    replaced = (lines if adjustments is None else adjustments).where((F.col("clm_status_code") == ADJUSTMENT) & F.col("orig_clm_id").isNotNull()).select(F.col("orig_clm_id").alias("replaced")).distinct()
     return lines.join(replaced, (F.col("claim_id") == F.col("replaced")) & (F.col("clm_status_code") == ORIGINAL), "left_anti")
 
 
-def net_paid(lines: DataFrame) -> DataFrame:
+def net_paid(lines: DataFrame, adjustments: DataFrame | None = None) -> DataFrame:
     """The total paid amount after netting; 0 without any."""
-    return surviving(lines).agg(F.coalesce(F.sum("paid_amount"), F.lit(0)).cast("decimal(38,2)").alias("net_paid"))
+    return surviving(lines, adjustments).agg(F.coalesce(F.sum("paid_amount"), F.lit(0)).cast("decimal(38,2)").alias("net_paid"))
 
 
 def orphan_adjustments(lines: DataFrame) -> DataFrame:
@@ -179,12 +196,6 @@ def overlaps(spans: DataFrame) -> DataFrame:
     return pairs.where("next_start <= end_date").select(*PARTITION, "start_date", "end_date", "next_start", "next_end")
 
 
-def _row_hash(rows: DataFrame) -> list[Column]:
-    """128 bits of a row: two hashes of all values, with the places of the NULLs, which a hash passes over."""
-    nulls = F.concat(*[F.col(c).isNull().cast("int").cast("string") for c in rows.columns])
-    return [F.xxhash64(F.lit(seed), nulls, *rows.columns) for seed in (1, 2)]
-
-
 def _line_checks(claims: DataFrame) -> DataFrame:
     """One row with the number of violations of each check of claim lines, in one pass and without the raw texts.
 
@@ -219,16 +230,15 @@ def gate(claims: DataFrame, spans: DataFrame, members: DataFrame, documents: Dat
     ``documents`` (name, text) are the mapping's own documents, each of which must be free of placeholders.
     """
     names = ["grain", "reconciliation", "claim_type", "exercised_line_no", "exercised_clm_id"]
-    lines = _line_checks(claims).selectExpr(f"stack({len(names)}, {', '.join(f"'{n}', {n}" for n in names)}) AS (check, violations)")
-    accepted_keys = claims.where(reject_reason().isNull()).select("member_key")
+    found = _line_checks(claims).selectExpr(f"stack({len(names)}, {', '.join(f"'{n}', {n}" for n in names)}) AS (check, violations)")
     checks = [
-        lines,
-        coverage([accepted_keys, spans], members).select(F.lit("coverage").alias("check"), F.when(F.col("enough"), 0).otherwise(1).cast("long").alias("violations")),
+        found,
+        coverage([accepted_keys(claims), spans], members).select(F.lit("coverage").alias("check"), F.when(F.col("enough"), 0).otherwise(1).cast("long").alias("violations")),
         overlaps(consolidated(spans, members)).agg(F.count(F.lit(1)).alias("violations")).select(F.lit("overlaps").alias("check"), "violations"),
     ]
     if documents is not None:
-        found = documents.select(F.col("name").alias("document"), F.size(X.placeholders(F.col("text"))).cast("long").alias("violations"))
-        checks.append(found.select(F.concat(F.lit("placeholders_"), "document").alias("check"), "violations"))
+        marks = documents.select(F.col("name").alias("document"), F.size(X.placeholders(F.col("text"))).cast("long").alias("violations"))
+        checks.append(marks.select(F.concat(F.lit("placeholders_"), "document").alias("check"), "violations"))
     return reduce(DataFrame.union, checks).withColumn("passes", F.col("violations") == 0)
 
 

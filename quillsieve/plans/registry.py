@@ -126,6 +126,15 @@ def _lines(spark: SparkSession, d: str) -> DataFrame:
     return mapping.accepted(_claims(spark, d), _members(spark, d))
 
 
+def _bare(spark: SparkSession, d: str, *columns: str) -> DataFrame:
+    return mapping.lines(_claims(spark, d), list(columns))
+
+
+def _adjustments(spark: SparkSession, d: str) -> DataFrame:
+    good = _claims(spark, d).where(mapping.reject_reason().isNull())
+    return good.select(*[X.strip(F.col(c)).alias(c) for c in ("clm_status_code", "orig_clm_id")])
+
+
 def _spans(spark: SparkSession, d: str) -> DataFrame:
     return mapping.consolidated(spark_frame(spark, d, feed.VENDOR_SPANS), _members(spark, d))
 
@@ -146,7 +155,7 @@ def _payload() -> Column:
 
 _add(
     "raw_field_extract",
-    lambda s, d: _raw(s, d, "medical_claim").select("_snapshot_id", "_source_row_number", *[X.json_field(_payload(), k).alias(k) for k in ("claim_id", "payer", "place_of_service_code", "not_there")]),
+    lambda s, d: _raw(s, d, "medical_claim").select("_snapshot_id", "_source_row_number", X.json_fields(_payload(), ["claim_id", "payer", "place_of_service_code", "not_there"]).alias("f")).select("_snapshot_id", "_source_row_number", "f.*"),
     f"SELECT _snapshot_id, _source_row_number, {', '.join(f'{_field(k)} AS {k}' for k in ('claim_id', 'payer', 'place_of_service_code', 'not_there'))} FROM ({plain_sql(feed.RAW['medical_claim'])}) r",
 )
 _add(
@@ -161,7 +170,7 @@ def _cast_query(name: str, table: str, columns: list[tuple[str, str]]) -> None:
     sql = {"date": _as_date, "int": _as_int, "numeric": lambda x: _as_number(x, "DECIMAL(38,10)")}
     _add(
         name,
-        lambda s, d: _raw(s, d, table).select("_source_row_number", *[X.json_field(_payload(), c).alias(f"{c}_text") for c, _ in columns]).select("_source_row_number", *[make[k](F.col(f"{c}_text")).alias(c) for c, k in columns]),
+        lambda s, d: _raw(s, d, table).select("_source_row_number", X.json_fields(_payload(), [c for c, _ in columns]).alias("f")).select("_source_row_number", *[make[k](F.col(f"f.{c}")).alias(c) for c, k in columns]),
         f"SELECT _source_row_number, {', '.join(f'{sql[k](_field(c))} AS {c}' for c, k in columns)} FROM ({plain_sql(feed.RAW[table])}) r",
     )
 
@@ -257,19 +266,19 @@ _add(
     lambda s, d: mapping.quarantined_spans(spark_frame(s, d, feed.VENDOR_SPANS), _members(s, d)),
     f"WITH {_SPAN_CTES} SELECT member_key, payer, plan, coverage_type, start_date, end_text, field FROM judged WHERE field IS NOT NULL",
 )
-_add("orphan_adjustments", lambda s, d: mapping.orphan_adjustments(_lines(s, d)), f"WITH {_LINES} SELECT claim_id, line_no, clm_status_code, orig_clm_id FROM lines WHERE orig_clm_id IS NOT NULL AND orig_clm_id NOT IN (SELECT claim_id FROM lines)")
+_add("orphan_adjustments", lambda s, d: mapping.orphan_adjustments(_bare(s, d, "claim_id", "line_no", "clm_status_code", "orig_clm_id")), f"WITH {_LINES} SELECT claim_id, line_no, clm_status_code, orig_clm_id FROM lines WHERE orig_clm_id IS NOT NULL AND orig_clm_id NOT IN (SELECT claim_id FROM lines)")
 _add(
     "net_paid_amount",
-    lambda s, d: mapping.net_paid(_lines(s, d)),
+    lambda s, d: mapping.net_paid(_bare(s, d, "claim_id", "clm_status_code", "paid_amount"), _adjustments(s, d)),
     f"WITH {_LINES} SELECT coalesce(sum(paid_amount), 0)::DECIMAL(38,2) AS net_paid FROM lines WHERE NOT (clm_status_code = '1' AND claim_id IN (SELECT orig_clm_id FROM lines WHERE clm_status_code = '7' AND orig_clm_id IS NOT NULL))",
 )
 _add("dedup_exact_duplicates", lambda s, d: mapping.collapsed((c := _claims(s, d)).unionByName(c.where("clm_id LIKE '%5'"))), f"WITH a AS ({_CLAIMS}), b AS (SELECT * FROM a UNION ALL SELECT * FROM a WHERE clm_id LIKE '%5') SELECT (SELECT count(*) FROM b) AS n_rows, (SELECT count(*) FROM (SELECT DISTINCT * FROM b)) AS n_distinct, (SELECT count(*) FROM b) - (SELECT count(*) FROM (SELECT DISTINCT * FROM b)) AS n_collapsed")
-_add("grain_conflicts", lambda s, d: mapping.grain_conflicts(_lines(s, d), ["claim_id", "line_no"]), f"WITH {_LINES} SELECT claim_id, line_no, count(*) AS n FROM lines GROUP BY ALL HAVING count(*) > 1")
+_add("grain_conflicts", lambda s, d: mapping.grain_conflicts(_bare(s, d, "claim_id", "line_no"), ["claim_id", "line_no"]), f"WITH {_LINES} SELECT claim_id, line_no, count(*) AS n FROM lines GROUP BY ALL HAVING count(*) > 1")
 _KEYS = f"SELECT member_key FROM lines UNION SELECT {_strip('member_key')} FROM ({_SPANS}) s WHERE {_strip('member_key')} IS NOT NULL"
 _COVERAGE = f"SELECT count(m.member_key) AS matched, count(*) AS total, count(m.member_key) >= 0.90 * count(*) AS enough FROM ({_KEYS}) k LEFT JOIN members m ON m.member_key = k.member_key"
-_add("fk_coverage", lambda s, d: mapping.coverage([_lines(s, d), spark_frame(s, d, feed.VENDOR_SPANS)], _members(s, d)), f"WITH {_LINES} {_COVERAGE}")
+_add("fk_coverage", lambda s, d: mapping.coverage([mapping.accepted_keys(_claims(s, d)), spark_frame(s, d, feed.VENDOR_SPANS)], _members(s, d)), f"WITH {_LINES} {_COVERAGE}")
 _BAD_AMOUNTS = "SELECT claim_id, line_no, paid_amount, allowed_amount, charge_amount FROM lines WHERE NOT (abs(paid_amount) <= abs(allowed_amount) AND abs(allowed_amount) <= abs(charge_amount)) AND paid_amount IS NOT NULL AND allowed_amount IS NOT NULL AND charge_amount IS NOT NULL"
-_add("financial_reconciliation", lambda s, d: mapping.unreconciled(_lines(s, d).dropna(subset=["paid_amount", "allowed_amount", "charge_amount"])), f"WITH {_LINES} {_BAD_AMOUNTS}")
+_add("financial_reconciliation", lambda s, d: mapping.unreconciled(_bare(s, d, "claim_id", "line_no", "paid_amount", "allowed_amount", "charge_amount").dropna(subset=["paid_amount", "allowed_amount", "charge_amount"])), f"WITH {_LINES} {_BAD_AMOUNTS}")
 _add("unexpected_claim_types", lambda s, d: mapping.unexpected_types(staging.staged(_raw(s, d, "medical_claim"), "medical_claim", DEFAULT_SOURCE), "claim_type", mapping.CLAIM_TYPES), f"SELECT DISTINCT {_field('claim_type')} AS value FROM ({plain_sql(feed.RAW['medical_claim'])}) r WHERE {_field('claim_type')} NOT IN ('institutional', 'professional', 'undetermined')")
 _BROKEN = {c: f"{_strip(c)} NOT IN ({', '.join(repr(k) for k in known)})" for c, known in mapping.CODES.items()} | {"diag_type_missing": f"{_strip('diag_type')} IS NULL AND coalesce({', '.join(_strip(c) for c in mapping.DIAGNOSES)}) IS NOT NULL"}
 _add("documented_codes", lambda s, d: mapping.code_checks(_claims(s, d)), f"WITH c AS ({_CLAIMS}) " + " UNION ALL ".join(f"SELECT '{n}' AS rule, count(*) FILTER (WHERE {b}) AS violations FROM c" for n, b in _BROKEN.items()))
@@ -284,7 +293,7 @@ def _unmerged(s: SparkSession, d: str) -> DataFrame:
 _add("span_overlaps", lambda s, d: mapping.overlaps(_unmerged(s, d)), f"WITH {_SPAN_CTES} {_OVERLAPS.format('good')}")
 _add(
     "normalize_diagnoses",
-    lambda s, d: mapping.diagnoses(_lines(s, d)),
+    lambda s, d: mapping.diagnoses(_bare(s, d, "claim_id", "line_no", "diag_type", *mapping.DIAGNOSES)),
     f"""WITH {_LINES}, numbered AS (SELECT row_number() OVER () AS id, * FROM lines),
     long AS (SELECT id, claim_id, line_no, coalesce(diag_type, 'UNKNOWN_CODE_TYPE') AS code_type, p, code FROM numbered, LATERAL (VALUES (1, {_strip('diag_cd_1')}), (2, {_strip('diag_cd_2')}), (3, {_strip('diag_cd_3')})) v(p, code) WHERE code IS NOT NULL),
     one AS (SELECT id, claim_id, line_no, code_type, code, min(p) AS p FROM long GROUP BY ALL)
@@ -292,7 +301,7 @@ _add(
 )
 _add(
     "normalize_procedures",
-    lambda s, d: mapping.procedures(_lines(s, d)),
+    lambda s, d: mapping.procedures(_bare(s, d, "claim_id", "line_no", "proc_type", *[x for pair in mapping.PROCEDURES for x in pair])),
     f"""WITH {_LINES}, numbered AS (SELECT row_number() OVER () AS id, * FROM lines),
     long AS (SELECT id, claim_id, line_no, coalesce(proc_type, 'UNKNOWN_CODE_TYPE') AS code_type, p, code, day FROM numbered, LATERAL (VALUES (1, {_strip('proc_cd_1')}, {_as_date(_strip('proc_dt_1'))}), (2, {_strip('proc_cd_2')}, {_as_date(_strip('proc_dt_2'))})) v(p, code, day) WHERE code IS NOT NULL),
     one AS (SELECT id, claim_id, line_no, code_type, code, min(p) AS p FROM long GROUP BY ALL)
