@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from quillsieve.functions.exprs import MARK, MASKED
 from quillsieve.operators import ingest, mapping, staging
 from quillsieve.plans.contracts import FINAL, TABLES
+from quillsieve.session import configured
 from quillsieve.sources import files
 from quillsieve.sources.shared import Store
 from quillsieve.streaming import incremental
@@ -103,8 +104,7 @@ def main(arguments: list[str] | None = None) -> int:
         parser.add_argument(f"--{name}", default="")
     parser.add_argument("--most-age-hours", type=int, default=30)
     given = parser.parse_args(arguments)
-    spark = SparkSession.builder.config("spark.sql.session.timeZone", "UTC").getOrCreate()
-    return run(spark, Config(**vars(given)))
+    return run(configured(SparkSession.builder).getOrCreate(), Config(**vars(given)))
 
 
 if __name__ == "__main__":
