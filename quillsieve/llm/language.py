@@ -6,17 +6,19 @@ feature map is its kernel row times K^(-1/2), and one-versus-rest ridge regressi
 language. As the kernel is an inner product, the kernel row times the fitted weights is the text's presence row times
 one fixed matrix, which batches of texts are multiplied with.
 
-Learning takes every language that labels a row, of each at most ``SAMPLE`` labelled rows, ``LANDMARKS`` of them as
-landmarks, those whose id hashes lowest. They are held on the driver, whose memory has to grow with the languages. All
-texts are scored whole.
-
-Defined cases: a text that is null or has no letter gets ``und`` and score 0, as does every text if no row has a
-label. Repeated rows score alike. Ties go to the language that sorts first. An empty table gives an empty result.
+Learning takes every language that labels a row, of each at most ``SAMPLE`` different labelled rows (id and text),
+``LANDMARKS`` of them as landmarks, those that hash lowest; rows that repeat count once, and null or repeated ids leave
+no language out. They are held on the driver, whose memory has to grow with the languages. All texts are scored whole.
+
+Defined cases: a letter is a character of a Unicode category L (so no digit, number sign or letter number). A text that
+is null or has no letter gets ``und`` and score 0, as does every text if no row has a label. Repeated rows score alike.
+A very long text is one presence row, as long as any other, made from the whole text. Ties go to the language that sorts
+first. An empty table gives an empty result. Columns of the input named like an output column are replaced.
 """
 
 from __future__ import annotations
 
-import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quillsieve.llm import chars
-from quillsieve.llm.common import crc_fold, free_name, lowest_hashes, table
+from quillsieve.llm.common import crc_fold, free_name, lowest_hashes, scratch, table
 
 #: Labelled rows of a language that learning takes at most, and the landmarks among them.
 SAMPLE, LANDMARKS = 400, 48
@@ -35,7 +37,9 @@ CELLS, RIDGE, SHARPNESS = (256, 4096, 8192, 8192), 0.05, 8.0
 #: Texts in a presence matrix.
 ROWS = 128
 
-_letter = re.compile(r"[^\W\d_]").search
+
+def _letter(text: str) -> bool:
+    return any(map(str.isalpha, text))  # the categories Lu, Ll, Lt, Lm and Lo
 
 
 def presence(texts: list[str]) -> np.ndarray:
@@ -67,9 +71,9 @@ def scaled(x: np.ndarray) -> np.ndarray:
     return out
 
 
-def _labelled(df: DataFrame, learn: Column, id_col: str, text_col: str, lang_col: str) -> DataFrame:
+def _labelled(df: DataFrame, learn: Column, id_col: str, text_col: str, lang_col: str, spare: float) -> DataFrame:
     rows = df.where(learn & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"), F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("id"))
-    return lowest_hashes(rows, "lang", F.xxhash64("id"), SAMPLE)
+    return lowest_hashes(rows, "lang", F.xxhash64("id", "text"), SAMPLE, spare)
 
 
 def _bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -77,12 +81,19 @@ def _bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = batch.column("text").to_pylist()
         for a, b in chars.slices(texts):
             part = batch.slice(a, b - a)
-            yield pa.RecordBatch.from_arrays([part.column("lang"), part.column("place"), pa.array([r.tobytes() for r in np.packbits(presence(texts[a:b]), axis=1)], pa.binary())], names=["lang", "place", "bits"])
+            yield pa.RecordBatch.from_arrays([part.column("lang"), part.column("place"), part.column("whole"), pa.array([r.tobytes() for r in np.packbits(presence(texts[a:b]), axis=1)], pa.binary())], names=["lang", "place", "whole", "bits"])
 
 
 def fit(df: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> tuple[list[str], np.ndarray]:
     """Languages, and the matrix that takes scaled presence rows to their margins."""
-    sample = sorted(_labelled(df, learn, id_col, text_col, lang_col).mapInArrow(_bits, "lang string, place int, bits binary").collect())
+    spare = 1.0
+    while True:
+        with scratch(df.sparkSession):
+            sample = sorted(_labelled(df, learn, id_col, text_col, lang_col, spare).mapInArrow(_bits, "lang string, place int, whole boolean, bits binary").collect())
+        got = Counter(r["lang"] for r in sample)
+        if all(r["whole"] or got[r["lang"]] == SAMPLE for r in sample):
+            break
+        spare *= 4  # the bound of a language was too low for its sample, which is very unlikely
     langs = sorted({r["lang"] for r in sample})
     if not langs:
         return [], np.zeros((sum(CELLS), 0), dtype=np.float32)

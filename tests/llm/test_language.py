@@ -48,3 +48,58 @@ def test_every_language_is_learned(spark, monkeypatch):
     model = L.fit(docs, F.lit(True))
     assert model[0] == [f"l{i}" for i in range(6)]
     assert all(r.lang_pred == r.lang for r in L.predict(docs, model).collect())
+
+
+def test_repeated_and_null_ids_leave_no_language_out(spark):
+    """Thousands of rows under one id, or under none, hash alike by their ids: the texts tell them apart."""
+    rows = [(7, f"bonjour le monde {i}", "fr") for i in range(1500)] + [(i, f"hello the world {i}", "en") for i in range(1500)]
+    rows += [(None, f"hallo die welt {i}", "de") for i in range(1500)] + [(9, "ciao", "it")] * 1500
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    model = L.fit(docs, F.lit(True))
+    assert model[0] == ["de", "en", "fr", "it"]
+    sample = L._labelled(docs, F.lit(True), "doc_id", "text", "lang", 1.0).groupBy("lang").count().collect()
+    assert {r.lang: r["count"] for r in sample} == {"de": L.SAMPLE, "en": L.SAMPLE, "fr": L.SAMPLE, "it": 1}
+    again = L.fit(docs.repartition(2, "text"), F.lit(True))
+    assert again[0] == model[0] and np.allclose(again[1], model[1])
+
+
+def test_a_bound_that_is_too_low_is_raised(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"word{i} {lang}", lang) for i in range(3000) for lang in ("aa", "bb")], "doc_id long, text string, lang string")
+    want, labelled, tried = L.fit(docs, F.lit(True)), L._labelled, []
+    monkeypatch.setattr(L, "_labelled", lambda *a: (tried.append(a[-1]), labelled(*a[:-1], a[-1] * 0.2))[1])
+    got = L.fit(docs, F.lit(True))
+    assert tried == [1.0, 4.0, 16.0][: len(tried)] and len(tried) > 1 and np.allclose(got[1], want[1])
+
+
+def test_what_a_letter_is(spark):
+    texts = ["½", "²³ ¼", "Ⅷ ⅻ", "12 _ ।", "٣", "ª", "ʰ", "語", "ǅ"]  # number signs, letter numbers, digits; then letters
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    model = L.fit(docs, F.lit(True))
+    out = {r.doc_id: (r.lang_pred, r.score) for r in L.predict(docs, model).collect()}
+    assert [out[i] for i in range(5)] == [("und", 0.0)] * 5
+    assert [out[i][0] for i in range(5, 9)] == ["en"] * 4
+
+
+def test_prediction_against_ridge_in_the_landmarks_kernel(spark, monkeypatch):
+    """The same regression solved in its other form: least squares over landmark weights under the landmarks' kernel."""
+    monkeypatch.setattr(L, "SAMPLE", 12)
+    monkeypatch.setattr(L, "LANDMARKS", 5)
+    words = {"en": "the cat sat on that mat with hats", "fr": "le chat dort sur une natte grise", "de": "die katze liegt auf der matte dort"}
+    rows = [(i, " ".join(w.split()[j % 7 :]) + f" {w.split()[(i * 3 + j) % 7]}", lang) for lang, w in words.items() for j in range(7) for i in (j, j + 50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    sample = sorted((r.lang, r.place, r.text) for r in L._labelled(docs, F.lit(True), "doc_id", "text", "lang", 1.0).collect())
+    langs, matrix = L.fit(docs, F.lit(True))
+    cells = lambda t: [set(np.nonzero(r)[0]) for r in np.split(L.presence([t])[0], np.cumsum(L.CELLS)[:-1])]
+    kernel = lambda a, b: np.mean([len(x & y) / np.sqrt(len(x) * len(y)) if x and y else 0 for x, y in zip(cells(a), cells(b), strict=True)])
+    marks = [t for _, place, t in sample if place <= 5]
+    big = np.array([[kernel(t, m) for m in marks] for _, _, t in sample])
+    small = np.array([[kernel(a, m) for m in marks] for a in marks])
+    y = np.array([[1.0 if lang == k else -1.0 for k in langs] for lang, _, _ in sample])
+    w = np.array([len(sample) / len(langs) / sum(x[0] == lang for x in sample) for lang, _, _ in sample])[:, None]
+    alpha = np.linalg.lstsq(big.T @ (w * big) + L.RIDGE * len(sample) / 100 * small, big.T @ (w * y), rcond=None)[0]
+    for text in ["the mat", "une natte", "der hut 7", "zzz", sample[0][2]]:
+        want = np.array([kernel(text, m) for m in marks]) @ alpha
+        assert np.allclose(L.scaled(L.presence([text]))[0] @ matrix, want, atol=2e-3)
+        got = L.predict(spark.createDataFrame([(text,)], "text string"), (langs, matrix)).first()
+        e = np.exp(L.SHARPNESS * (want - want.max()))
+        assert got.lang_pred == langs[int(want.argmax())] and abs(got.score - e.max() / e.sum()) < 0.02
