@@ -6,8 +6,13 @@ seeded hash of its place in the input, so that buckets hold about ``bucket_bytes
 Second pass: every bucket, which fits in memory, gets a Fisher-Yates shuffle (Spark's ``shuffle`` of an array is one)
 and is written to the folder of its shard. Buckets follow one another, which gives each record its slot.
 
-Defined cases: a null key counts as the empty text; a null text has no bytes. Repeated rows stay, each with a slot of
-its own. An empty table gives no shards. Columns of the input named like an output column are replaced.
+The tasks of the second pass follow from the buckets, not from a setting: each gets about ``TASK_BYTES`` of them, and
+holds one bucket's array at a time beside those that are not complete yet.
+
+Defined cases: a null key counts as the empty text; a null text has no bytes. Texts stay whole; one longer than a bucket
+makes that bucket longer. Repeated rows stay, each with a slot of its own; as the place in the input draws the bucket,
+slots (not shards) follow the input's splits, and the same splits give the same slots. Ties of hashes go to the lower
+shard. An empty table gives no shards. Columns of the input named like an output column are replaced.
 """
 
 from __future__ import annotations
@@ -19,6 +24,8 @@ from quillsieve.llm.common import free_name, new_path, table
 
 #: Bytes of text in a bucket, about, and the fewest buckets of a shard.
 BUCKET_BYTES, FEWEST_BUCKETS = 4_000_000, 16
+#: Bytes of text in the buckets of a task, about, and the most tasks (then tasks get more buckets).
+TASK_BYTES, MOST_TASKS = 8_000_000, 500_000
 #: Buckets up to this number are broadcast with their first slots (24 bytes each); more are joined by shuffling.
 BROADCAST_BUCKETS = 200_000
 
@@ -36,12 +43,13 @@ def shard(df: DataFrame, n_shards: int, key_col: str = "doc_id", text_col: str =
     size = F.coalesce(F.octet_length(F.col(text_col)), F.lit(0)) + 8
     total = df.agg(F.coalesce(F.sum(size), F.lit(0)).alias("total")).first()["total"]
     buckets = max(FEWEST_BUCKETS, -(-total // (n_shards * bucket_bytes)))
+    tasks = max(1, min(n_shards * buckets, -(-total // TASK_BYTES), MOST_TASKS))
     record = free_name(df, "record")
     scattered = df.select(
         rendezvous(F.col(key_col), n_shards, seed).alias("shard"),
         F.pmod(F.xxhash64(F.lit(seed + 1), F.monotonically_increasing_id()), F.lit(buckets)).cast("int").alias("bucket"),
         F.struct(*keep).alias(record),
-    ).repartition("shard", "bucket")
+    ).repartition(tasks, "shard", "bucket")
     mixed = scattered.groupBy("shard", "bucket").agg(F.shuffle(F.collect_list(record), F.lit(seed)).alias("all"))
     rows = mixed.select("shard", "bucket", F.posexplode("all").alias("place", record)).select(f"{record}.*", "shard", "bucket", "place")
     path = new_path(spark, "shards")

@@ -1,3 +1,4 @@
+import re
 import zlib
 from collections import Counter
 
@@ -49,3 +50,15 @@ def test_hot_key_is_dealt_over_buckets_and_order_is_mixed(spark):
     assert order != sorted(order) and sorted(order) == sorted(set(order))
     files = {x.path.split("/")[-2] for x in spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(path).select("path").collect()}
     assert files == {f"shard={i}" for i in range(4)}
+
+
+def test_tasks_follow_from_the_bytes(spark, monkeypatch):
+    """However the session is set, a task of the second pass gets buckets of about the same size; many buckets in one task are no harm."""
+    df = spark.range(3000).select(F.col("id").alias("doc_id"), F.repeat(F.lit("x"), 992).alias("text"))
+    monkeypatch.setattr(shards, "TASK_BYTES", 300_000)
+    path, out = shards.shard(df, 4, bucket_bytes=20_000)
+    assert len({re.search(r"part-\d+", f).group() for f in spark.read.parquet(path).inputFiles()}) >= 9
+    monkeypatch.setattr(shards, "TASK_BYTES", 10**9)
+    _, one = shards.shard(df, 4, bucket_bytes=4_000)
+    key = lambda rows: sorted((r.doc_id, r.shard) for r in rows)
+    assert one.select("bucket").distinct().count() > 180 and key(one.collect()) == key(out.collect())
