@@ -110,6 +110,26 @@ def published(store: Store, prefix: str) -> dict:
     return json.loads(data)
 
 
+def complete_runs(store: Store) -> list[str]:
+    """The prefixes of all runs that are published to their end."""
+    return [k.removesuffix("/_SUCCESS") for k in store.list("vendor=") if k.endswith("/_SUCCESS")]
+
+
+def read_runs(spark: SparkSession, store: Store) -> DataFrame:
+    """vendor, endpoint, load_date, run_id, page_number, payload: the records of all complete runs.
+
+    The first four are partitions, so a filter on them reads only its runs. Runs that are not complete are not listed.
+    """
+    schema = "value string, vendor string, endpoint string, load_date string, run_id string"
+    runs = complete_runs(store)
+    if not runs:
+        empty = spark.createDataFrame([], schema.replace("value string, ", "") + ", page_number int, payload string")
+        return empty.select("vendor", "endpoint", "load_date", "run_id", "page_number", "payload")
+    pages = spark.read.schema(schema).option("basePath", store.url("")).option("pathGlobFilter", "page=*.jsonl.gz").text([store.url(r) for r in runs])
+    number = F.regexp_extract(F.col("_metadata.file_name"), "page=([0-9]+)", 1).cast("int")
+    return pages.where(F.trim("value") != "").select("vendor", "endpoint", "load_date", "run_id", number.alias("page_number"), F.col("value").alias("payload"))
+
+
 def verify(spark: SparkSession, store: Store, prefix: str) -> DataFrame:
     """The pages of a run that differ from its manifest: empty for a sound run."""
     listed = spark.createDataFrame([(p["file"], p["sha256"], p["records"]) for p in published(store, prefix)["pages"]], "file string, sha256 string, records long")
