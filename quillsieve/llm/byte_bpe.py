@@ -5,9 +5,15 @@ becomes a row of byte tokens, and a recursive query joins its token positions to
 leftmost pair of least rank, until no pair of the piece is in the table. Decoding joins id positions to the
 vocabulary and concatenates with an ordered aggregate.
 
-Defined cases: a null text is an empty text (no ids, empty bytes). Lone surrogates cannot occur in Spark strings.
-Rows are independent, so repeated rows, ties and empty tables need nothing special. All other columns pass through;
-an output column that exists already is replaced.
+A recursive query keeps the rows of all its rounds, and a piece has up to as many rounds as bytes. So pieces go to a
+query in groups whose bytes squared sum to ``GROUP_WORK`` at most, and a piece of more than ``WALK_BYTES`` (one word of
+thousands of letters) is contracted in the same order with a heap of its pairs, in n log n steps. All three ways give
+the leftmost rule's result, so the choice by length is one of plan only.
+
+Defined cases: a null text is an empty text (no ids, empty bytes). Lone surrogates cannot occur in Spark strings. A
+text is never cut: one over ``SLICE_BYTES`` is a slice of its own, and words of any length are encoded whole. Ties of
+rank go to the leftmost pair. Rows are independent, so repeated rows give equal ids; an empty table gives an empty
+result. All other columns pass through; an output column that exists already is replaced, compared without case.
 """
 
 from __future__ import annotations
@@ -15,6 +21,7 @@ from __future__ import annotations
 import base64
 from array import array
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
 from itertools import chain
 
 import numpy as np
@@ -30,13 +37,13 @@ from quillsieve.llm.common import table
 SLICE_BYTES = 2_000_000
 #: Pieces whose ids are remembered within a task, and the longest such piece in bytes.
 CACHE_PIECES, CACHE_BYTES = 150_000, 40
-#: Pieces longer than this many bytes contract every safe pair of a round at once (see ``LONG``).
-LONG_BYTES = 64
+#: Pieces longer than this many bytes are walked with a heap, and a bound of the sum of squared lengths of a query's pieces.
+WALK_BYTES, GROUP_WORK = 512, 8_000_000
 #: Ids that are decoded at once.
 SLICE_IDS = 500_000
 
-#: One contraction a round: ``w`` piece, ``ids`` its tokens, ``go`` whether the last round changed it.
-SHORT = """
+#: One contraction of each piece a round: ``w`` piece, ``ids`` its tokens, ``go`` whether the last round changed it.
+CONTRACT = """
 WITH RECURSIVE s(w, ids, go) AS (
   SELECT w, ids, true FROM pieces
   UNION ALL
@@ -52,32 +59,6 @@ WITH RECURSIVE s(w, ids, go) AS (
 SELECT w, ids FROM s WHERE NOT go
 """
 
-#: The same result in fewer rounds. Where no token that starts or ends with the new token ranks below it, the new
-#: pairs of a contraction all rank above it, so one after the other the leftmost rule would take each further
-#: occurrence of that rank too: they are contracted together, every second one of a chain of neighbours.
-LONG = """
-WITH RECURSIVE s(w, p, t, n, k) AS (
-  SELECT w, p, t, lead(t) OVER (PARTITION BY w ORDER BY p), 0 FROM piece_bytes
-  UNION ALL
-  SELECT w, p, t, lead(t) OVER (PARTITION BY w ORDER BY p), k FROM (
-    SELECT w, p, CASE WHEN hit THEN r ELSE t END AS t, k + 1 AS k,
-           coalesce(lag(hit) OVER (PARTITION BY w ORDER BY p), false) AS gone
-    FROM (
-      SELECT w, p, t, k, r, cand AND (CASE WHEN safe THEN (row_number() OVER (PARTITION BY w, island ORDER BY i)) % 2 = 1
-                                           ELSE i = min(CASE WHEN cand THEN i END) OVER (PARTITION BY w) END) AS hit
-      FROM (
-        SELECT *, CASE WHEN cand THEN i - sum(cand::INT) OVER (PARTITION BY w ORDER BY i) ELSE -1 - i END AS island
-        FROM (
-          SELECT *, coalesce(rank = r, false) AS cand FROM (
-            SELECT s.w, s.p, s.t, s.k, m.rank, m.safe,
-                   row_number() OVER (PARTITION BY s.w ORDER BY s.p) AS i,
-                   min(m.rank) OVER (PARTITION BY s.w) AS r
-            FROM s LEFT JOIN merges m ON m.pair = (s.t::BIGINT << 32) | s.n) a
-          WHERE r IS NOT NULL) b) c) d) e
-  WHERE NOT gone)
-SELECT w, list(t ORDER BY p) AS ids FROM (SELECT *, max(k) OVER (PARTITION BY w) AS last FROM s) WHERE k = last GROUP BY w
-"""
-
 #: Ordered aggregation of the vocabulary's bytes, each byte as the character of that number.
 DECODE = """
 SELECT d, array_to_string(list(v.chars ORDER BY p), '') AS chars
@@ -121,8 +102,8 @@ class Session:
         self.known[np.fromiter(tok.ranks.values(), dtype=np.int64)] = True
         self.seen: dict[str, bytes] = {}
         self.con = con = duckdb.connect()
-        con.execute("SET threads = 1; SET memory_limit = '200MB'; SET preserve_insertion_order = false")
-        above = np.full(self.top + 1, np.iinfo(np.int32).max, dtype=np.int32)  # of each token: the least rank of the tokens that start or end with it
+        # nothing is spilled to a folder of this machine: GROUP_WORK bounds what a query holds
+        con.execute("SET threads = 1; SET memory_limit = '300MB'; SET preserve_insertion_order = false; SET temp_directory = ''")
         left, right, whole = array("i"), array("i"), array("i")
         get = tok.ranks.get
         for t, r in tok.ranks.items():
@@ -132,11 +113,7 @@ class Session:
                     left.append(a)
                     right.append(b)
                     whole.append(r)
-                for x in (a, b):
-                    if x >= 0 and r < above[x]:
-                        above[x] = r
-        rank = np.array(whole, dtype=np.int32)
-        con.register("m", pa.table({"pair": np.array(left, dtype=np.int64) << 32 | np.array(right, dtype=np.int64), "rank": rank, "safe": above[rank] >= rank}))
+        con.register("m", pa.table({"pair": np.array(left, dtype=np.int64) << 32 | np.array(right, dtype=np.int64), "rank": np.array(whole, dtype=np.int32)}))
         con.register("v", pa.table({"id": pa.array([*tok.ranks.values()], pa.int32()), "chars": pa.array([t.decode("latin-1") for t in tok.ranks], pa.string())}))
         con.execute("CREATE TABLE merges AS SELECT * FROM m; CREATE TABLE vocab AS SELECT * FROM v")
         con.unregister("m")
@@ -144,32 +121,54 @@ class Session:
 
     def _merged(self, pieces: list[bytes]) -> list[bytes]:
         """The ids of each piece as little-endian unsigned 32-bit integers."""
-        sizes = np.fromiter(map(len, pieces), dtype=np.int32, count=len(pieces))
+        out: list[bytes] = [b""] * len(pieces)
+        queried = [i for i, p in enumerate(pieces) if len(p) <= WALK_BYTES]
+        for a, b in _slices([len(pieces[i]) ** 2 for i in queried], GROUP_WORK):
+            group = queried[a:b]
+            for i, ids in zip(group, self._contracted([pieces[i] for i in group]), strict=True):
+                out[i] = ids
+        for i, p in enumerate(pieces):
+            if len(p) > WALK_BYTES:
+                out[i] = self.walked(p)
+        return out
+
+    def _contracted(self, pieces: list[bytes]) -> list[bytes]:
+        """The ids of each piece of one group, by a recursive query."""
         flat = self.bytes_to_id[np.frombuffer(b"".join(pieces), dtype=np.uint8)]
+        ends = np.concatenate([[0], np.cumsum(np.fromiter(map(len, pieces), dtype=np.int32, count=len(pieces)))]).astype(np.int32)
+        self.con.register("pieces", pa.table({"w": pa.array(np.arange(len(pieces), dtype=np.int32)), "ids": pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))}))
+        got = self.con.sql(CONTRACT).to_arrow_table().combine_chunks()
+        self.con.unregister("pieces")
+        ids = got["ids"].chunk(0)
+        values, ends = ids.values.to_numpy(zero_copy_only=False).astype("<u4").tobytes(), ids.offsets.to_numpy()
         out: list[bytes] = [b""] * len(pieces)
-        short = sizes <= LONG_BYTES
-        for own, query in ((short, SHORT), (~short, LONG)):
-            (at,) = np.nonzero(own)
-            if not len(at):
-                continue
-            mine = flat[np.repeat(own, sizes)]
-            if query is SHORT:
-                ends = np.concatenate([[0], np.cumsum(sizes[at])]).astype(np.int32)
-                given = pa.table({"w": pa.array(at.astype(np.int32)), "ids": pa.ListArray.from_arrays(pa.array(ends), pa.array(mine))})
-            else:
-                given = pa.table({"w": pa.array(np.repeat(at.astype(np.int32), sizes[at])), "p": pa.array(np.concatenate([np.arange(n, dtype=np.int32) for n in sizes[at]])), "t": pa.array(mine)})
-            name = "pieces" if query is SHORT else "piece_bytes"
-            self.con.register(name, given)
-            got = self.con.sql(query).to_arrow_table().combine_chunks()
-            self.con.unregister(name)
-            ids = got["ids"].chunk(0) if got.num_rows else None
-            if ids is None:
-                continue
-            values, ends = ids.values.to_numpy(zero_copy_only=False).astype("<u4").tobytes(), ids.offsets.to_numpy()
-            for w, a, b in zip(got["w"].to_pylist(), ends[:-1].tolist(), ends[1:].tolist(), strict=True):
-                out[w] = values[4 * a : 4 * b]
+        for i, a, b in zip(got["w"].to_pylist(), ends[:-1].tolist(), ends[1:].tolist(), strict=True):
+            out[i] = values[4 * a : 4 * b]
         return out
 
+    def walked(self, piece: bytes) -> bytes:
+        """The ids of one piece of any length: pairs leave a heap by rank and then by place, and links skip what was contracted."""
+        get, n = self.ranks.get, len(piece)
+        end, before = [*range(1, n + 1)], [*range(-1, n - 1)]  # by the start of a token: its end, and the start of the token before it
+        heap = [(r, i, i + 1, i + 2) for i in range(n - 1) if (r := get(piece[i : i + 2])) is not None]
+        heapify(heap)
+        while heap:
+            _, a, m, b = heappop(heap)
+            if end[a] != m or m >= n or end[m] != b:
+                continue  # one of the two tokens is gone
+            end[a], end[m] = b, -1
+            if b < n:
+                before[b] = a
+                if (r := get(piece[a : end[b]])) is not None:
+                    heappush(heap, (r, a, b, end[b]))
+            if a and (r := get(piece[before[a] : b])) is not None:
+                heappush(heap, (r, before[a], a, b))
+        ids, a = array("I"), 0
+        while a < n:
+            ids.append(self.ranks[piece[a : end[a]]])
+            a = end[a]
+        return np.frombuffer(ids, dtype=f"u{ids.itemsize}").astype("<u4").tobytes()
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Each text's ids, as little-endian unsigned 32-bit integers."""
         split = [self.find(t) if t else [] for t in texts]
@@ -280,3 +279,46 @@ def op3_byte_bpe(spark, sf_dir: str) -> DataFrame:
     tokenizer = Tokenizer(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     coded = encode(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer, packed=True, decoded_col="decoded")
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+#: What is white space in a text, as a class of characters.
+_SPACE = r"\t-\r\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+
+
+def op3_sql(path: str) -> str:
+    """SQL for ``op3_byte_bpe`` with a rank file, for texts without the last code point.
+
+    Its patterns have no look ahead, so a mark goes before the last of several white spaces, which belongs to the word
+    after them. Letters and numbers that Unicode has added of late are classed otherwise there.
+    """
+    rank = "printf('%02x%02x%02x%02x', rank & 255, (rank >> 8) & 255, (rank >> 16) & 255, rank >> 24)"
+    words = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_SPACE}\p{{L}}\p{{N}}]+|[{_SPACE}]+".replace("'", "''")
+    return rf"""
+WITH RECURSIVE ranks AS MATERIALIZED (
+  SELECT from_base64(token) AS token, rank FROM read_csv('{path}', delim = ' ', header = false, quote = '', escape = '', columns = {{'token': 'VARCHAR', 'rank': 'INTEGER'}})),
+whole AS MATERIALIZED (SELECT hex(token) AS token, rank FROM ranks),
+d AS MATERIALIZED (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
+parts AS (
+  SELECT rid, string_split(regexp_replace(text, '([{_SPACE}]+)([{_SPACE}][^{_SPACE}])', '\1' || chr(1114109) || '\2', 'g'), chr(1114109)) AS parts FROM d),
+found AS (SELECT rid, flatten(list_transform(parts, lambda p: regexp_extract_all(p, '{words}'))) AS pieces FROM parts),
+placed AS MATERIALIZED (SELECT rid, unnest(pieces) AS piece, unnest(range(1, len(pieces) + 1)) AS place FROM found),
+pieces AS MATERIALIZED (SELECT piece, hex(encode(piece)) AS bytes, row_number() OVER () AS w FROM (SELECT DISTINCT piece FROM placed)),
+start AS (
+  SELECT w, list_transform(range(1, len(bytes) // 2 + 1), lambda i: bytes[2 * i - 1:2 * i]) AS tokens FROM pieces WHERE bytes NOT IN (SELECT token FROM whole)),
+steps(w, tokens, going) AS (
+  SELECT w, tokens, true FROM start
+  UNION ALL
+  SELECT s.w, CASE WHEN m.p IS NULL THEN s.tokens ELSE s.tokens[:m.p - 1] || [s.tokens[m.p] || s.tokens[m.p + 1]] || s.tokens[m.p + 2:] END, m.p IS NOT NULL
+  FROM steps s LEFT JOIN (
+    SELECT w, arg_min(p, rank * 4294967296::BIGINT + p) AS p
+    FROM (SELECT w, unnest(range(1, len(tokens))) AS p, tokens FROM steps WHERE going) x JOIN whole ON whole.token = tokens[p] || tokens[p + 1] GROUP BY w) m ON m.w = s.w
+  WHERE s.going),
+merged AS (SELECT w, unnest(tokens) AS token, unnest(range(1, len(tokens) + 1)) AS k FROM steps WHERE NOT going),
+ids AS MATERIALIZED (
+  SELECT w, string_agg({rank}, '' ORDER BY k) AS ids, count(*) AS n
+  FROM merged JOIN whole USING (token) GROUP BY w
+  UNION ALL
+  SELECT w, {rank}, 1 FROM pieces JOIN whole ON whole.token = bytes),
+coded AS (SELECT rid, sum(n)::BIGINT AS n_tokens, string_agg(ids, '' ORDER BY place) AS ids FROM placed JOIN pieces USING (piece) JOIN ids USING (w) GROUP BY rid)
+SELECT doc_id, coalesce(n_tokens, 0)::BIGINT AS n_tokens, sha256(unhex(coalesce(ids, ''))) AS ids_sha256, sha256(text) AS decoded_sha256 FROM d LEFT JOIN coded USING (rid)
+"""
