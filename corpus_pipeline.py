@@ -2,7 +2,21 @@
 
 Toxic documents go; one document of each class of near duplicates stays; secrets are masked; sources are mixed to equal
 weight; the texts are encoded to token ids. Each stage takes (spark, docs, sf_dir) and works on all that the stage
-before kept; between stages the rows are written as Parquet and read again.
+before kept; between stages the rows are written as Parquet to the shared folder and read again. Tables that a stage
+makes on its way are removed once its result is written; the stages' results stay, so that a run which was cut off can be
+taken up from the last of them.
+
+Defined cases, for every stage: null texts are empty texts and stay null; null ids, sources and languages are values like
+others; texts are taken whole at any length; columns beside those of ``documents`` are dropped, so none can clash; an
+empty table gives an empty table with the stage's columns.
+
+* toxicity: a document at the threshold or above goes, an unlabelled one as well; repeated rows go or stay together. Without
+  labels of both classes all scores are the share of toxic labels, so nothing goes unless nearly all labels are toxic.
+* jaccard_join: of a class the row of least id stays (null ids last, of equal rows one); texts without words are near to
+  nothing but their equals.
+* secret_scan: overlapping findings get one mark; ``n_chars`` of a null text stays as it is.
+* poisson_mix: a document has as many rows as it is drawn, so ids repeat from here on; a null source is a source.
+* byte_bpe: a null text has no ids.
 """
 
 from __future__ import annotations
@@ -14,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillsieve.llm import byte_bpe, jaccard_join, mixing, secrets, toxicity
-from quillsieve.llm.common import table, written
+from quillsieve.llm.common import scratch, table, written
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -64,8 +78,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages, one after the other, over the table ``documents``."""
     docs = table(spark, sf_dir, "documents")
-    for i, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if i < len(STAGES) - 1:
-            docs = written(docs, f"stage-{name}")
-    return docs
+    for name, stage in STAGES[:-1]:
+        with scratch(spark) as keep:
+            docs = keep(written(stage(spark, docs, sf_dir), f"stage-{name}"))
+    return STAGES[-1][1](spark, docs, sf_dir)
