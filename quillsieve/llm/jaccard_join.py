@@ -9,8 +9,10 @@ long texts is dealt into chunks, and each pair of chunks is a task's group of bo
 by alternating large-star and small-star steps over written tables.
 
 Defined cases: a null text is an empty text. Texts without words have no shingles: equal ones share a class, and they
-link to nothing. Null ids sort last when a class takes its least id; a class without ids has a null class id. Repeated
-rows are copies. An empty table gives an empty result.
+link to nothing. A very long text is signed and verified whole, and fills a chunk of its own. Null ids sort last when a
+class takes its least id; a class without ids has a null class id. Ties of ids within a class go to the text of least
+key. Repeated rows are copies. An empty table gives an empty result. Columns of the input named like an inner one do not
+clash, since rows travel as structs.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillsieve.llm.common import free_name, table, written
+from quillsieve.llm.common import free_name, scratch, table, written
 
 WORDS, SIMILARITY, RECALL = 5, 0.8, 0.999
 #: Texts and words in a chunk of a bucket, about.
@@ -257,30 +259,31 @@ def link_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n:
     the number of rows that have it), n_links (other texts at ``similarity`` or more) and root (the class's least key).
     """
     bands, rows = bands_and_rows(similarity, recall)
-    keyed = _keyed(df, id_col, text_col)
-    id_type = keyed.schema["id"].dataType.simpleString()
-    signed = written(keyed.mapInArrow(_signatures(bands, rows, n), f"id {id_type}, key binary, words long, bands array<bigint>"), "signatures")
-    ids = signed.groupBy("key", "id").agg(F.count(F.lit(1)).alias("n")).groupBy("key").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "n")).alias("least"), F.sum("n").alias("n_docs"))
-    texts = written(signed.select("key", "words", "bands").dropDuplicates(["key"]), "texts")
-    banded = texts.select("key", "words", F.explode("bands").alias("bucket"))
-    h = F.xxhash64("key")
-    buckets = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("m"), F.sum("words").alias("w"), F.bit_xor(h).alias("x"), F.sum(F.shiftright(h, 8)).alias("s")).where("m > 1")
-    kept = buckets.groupBy("m", "w", "x", "s").agg(F.min("bucket").alias("bucket")).select("bucket", F.greatest(F.lit(1), F.ceil(F.col("m") / CHUNK_TEXTS), F.ceil(F.col("w") / CHUNK_WORDS)).cast("int").alias("chunks"))
-    meets = banded.join(kept, "bucket").groupBy("key").agg(F.collect_list(F.struct("bucket", "chunks")).alias("meets"))
-    wanted = written(meets.join(ids.select("key", "least"), "key"), "candidates")
-    same_id = F.col("k.id").eqNullSafe(F.col("w.least.id"))
-    found = keyed.alias("k").join(wanted.alias("w").hint("shuffle_hash"), (F.col("k.key") == F.col("w.key")) & same_id).select(F.col("k.key").alias("key"), "text", "meets", F.col("w.least.n").alias("times"))
-    once = found.where("times = 1").unionByName(found.where("times > 1").dropDuplicates(["key"]))
-    dealt = once.select("key", "text", F.col("meets.bucket").alias("kept"), F.explode("meets").alias("at")).select("key", "text", "kept", "at.bucket", "at.chunks")
-    chunk = F.pmod(F.xxhash64("key", "bucket"), F.col("chunks")).cast("int")
-    sent = dealt.withColumn("chunk", chunk).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    groups = sent.select("bucket", F.least("chunk", "other").alias("first"), F.greatest("chunk", "other").alias("second"), "chunk", "key", "kept", "text")
-    groups = groups.repartition("bucket", "first", "second").sortWithinPartitions("bucket", "first", "second")
-    links = written(groups.mapInArrow(_verify(similarity, n), "key binary, links long, root binary").where("links > 0"), "links")
-    roots = components(links.select(F.col("key").alias("a"), F.col("root").alias("b")))
-    counts = links.groupBy("key").agg(F.sum("links").alias("n_links"))
-    out = ids.join(counts, "key", "left").join(roots.withColumnRenamed("node", "key"), "key", "left")
-    return signed.select("id", "key"), written(out.select("key", "n_docs", "least", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("root", "key").alias("root")), "linked")
+    with scratch(df.sparkSession) as keep:
+        keyed = _keyed(df, id_col, text_col)
+        id_type = keyed.schema["id"].dataType.simpleString()
+        signed = keep(written(keyed.mapInArrow(_signatures(bands, rows, n), f"id {id_type}, key binary, words long, bands array<bigint>"), "signatures"))
+        ids = signed.groupBy("key", "id").agg(F.count(F.lit(1)).alias("n")).groupBy("key").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "n")).alias("least"), F.sum("n").alias("n_docs"))
+        texts = written(signed.select("key", "words", "bands").dropDuplicates(["key"]), "texts")
+        banded = texts.select("key", "words", F.explode("bands").alias("bucket"))
+        h = F.xxhash64("key")
+        buckets = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("m"), F.sum("words").alias("w"), F.bit_xor(h).alias("x"), F.sum(F.shiftright(h, 8)).alias("s")).where("m > 1")
+        kept = buckets.groupBy("m", "w", "x", "s").agg(F.min("bucket").alias("bucket")).select("bucket", F.greatest(F.lit(1), F.ceil(F.col("m") / CHUNK_TEXTS), F.ceil(F.col("w") / CHUNK_WORDS)).cast("int").alias("chunks"))
+        meets = banded.join(kept, "bucket").groupBy("key").agg(F.collect_list(F.struct("bucket", "chunks")).alias("meets"))
+        wanted = written(meets.join(ids.select("key", "least"), "key"), "candidates")
+        same_id = F.col("k.id").eqNullSafe(F.col("w.least.id"))
+        found = keyed.alias("k").join(wanted.alias("w").hint("shuffle_hash"), (F.col("k.key") == F.col("w.key")) & same_id).select(F.col("k.key").alias("key"), "text", "meets", F.col("w.least.n").alias("times"))
+        once = found.where("times = 1").unionByName(found.where("times > 1").dropDuplicates(["key"]))
+        dealt = once.select("key", "text", F.col("meets.bucket").alias("kept"), F.explode("meets").alias("at")).select("key", "text", "kept", "at.bucket", "at.chunks")
+        chunk = F.pmod(F.xxhash64("key", "bucket"), F.col("chunks")).cast("int")
+        sent = dealt.withColumn("chunk", chunk).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+        groups = sent.select("bucket", F.least("chunk", "other").alias("first"), F.greatest("chunk", "other").alias("second"), "chunk", "key", "kept", "text")
+        groups = groups.repartition("bucket", "first", "second").sortWithinPartitions("bucket", "first", "second")
+        links = written(groups.mapInArrow(_verify(similarity, n), "key binary, links long, root binary").where("links > 0"), "links")
+        roots = components(links.select(F.col("key").alias("a"), F.col("root").alias("b")))
+        counts = links.groupBy("key").agg(F.sum("links").alias("n_links"))
+        out = ids.join(counts, "key", "left").join(roots.withColumnRenamed("node", "key"), "key", "left")
+        return signed.select("id", "key"), keep(written(out.select("key", "n_docs", "least", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("root", "key").alias("root")), "linked"))
 
 
 def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
