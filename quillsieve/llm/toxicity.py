@@ -13,8 +13,12 @@ Learning takes every labelled row, so the calibration sees the classes in their
 every size. It keeps every 6-gram, however rare. The counts are summed in Spark; the smoothed tables are made on the driver
 and sent to every task, so the distinct 6-grams have to fit there. All texts are scored whole.
 
-Defined cases: a null text is an empty text, and an empty text has mean 0. Labels that are null are no labels; an id
-with several labels is toxic if one says so. If the labelled rows lack a class, every score is the toxic share of them
+The length-normalised comparison is the first feature, the mean; the windows say whether a part of a long text stands out
+from it, and the length how much a mean is worth. The README has the figures of the mean alone beside those of the score.
+
+Defined cases: a null text is an empty text, and an empty text has mean 0; a text shorter than a window is its own window,
+and a very long one has all its windows. Labels that are null are no labels; an id with several labels is toxic if one
+says so, and all rows of a labelled id are learned from. Ties of score and threshold count as toxic. If the labelled rows lack a class, every score is the toxic share of them
 (0 without any). Repeated rows score alike. An empty table gives an empty result.
 """
 
@@ -30,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quillsieve.llm import chars
-from quillsieve.llm.common import crc_fold, free_name, table, written
+from quillsieve.llm.common import crc_fold, free_name, scratch, table, written
 
 ORDER, WINDOW, TOP = 6, 16, 8
 #: Of the learning rows, every this many-th fits the calibration and not the counts.
@@ -183,25 +187,26 @@ def _calibrated(model: Model, features: np.ndarray, label: np.ndarray) -> Model:
 
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model | float:
     """The model, or the constant score where the labelled rows lack a class. ``learn`` selects rows of ``labels`` and ``docs`` by their ids."""
-    named = labels.where(learn & F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg((F.max(label_col) >= 1).cast("int").alias("toxic"))
-    # the labelled ids grow with the input, so they are joined by shuffle at every size; rows not for learning stay out of it
-    rows = written(docs.where(learn).select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).join(named.hint("shuffle_hash"), "id"), "labelled")
-    fold = F.pmod(F.floor(F.crc32(F.col("id").cast("string").cast("binary")) / 3), F.lit(HELD))
-    counted = rows.select("text", "toxic", (fold == 0).alias("held")).mapInArrow(_count, "gram long, " + ", ".join(f"{c} long" for c in _COUNTS))
-    got = counted.groupBy("gram").agg(*[F.sum(c).alias(c) for c in _COUNTS]).toArrow()
-    keys, counts = got["gram"].to_numpy(), np.stack([got[c].to_numpy() for c in _COUNTS])
-    del got
-    order = np.argsort(keys)
-    keys, counts = keys[order], counts[:, order]
-    if not counts[:2].any(axis=1).all():
-        return float(named.agg(F.coalesce(F.avg("toxic"), F.lit(0.0)).alias("share")).first()["share"])
-    first = counts[:2].any(axis=0)
-    held = _applied(rows.where(fold == 0).select("text", "toxic"), kneser_ney(keys[first], counts[:2, first].astype(float)), "text", ["toxic"]).collect()
-    label = np.array([r["toxic"] for r in held], dtype=float)
-    model = kneser_ney(keys, (counts[:2] + counts[2:]).astype(float))
-    if not len(held) or label.min() == label.max():
-        return _calibrated(model, np.zeros((2, 4)) + [[-1], [1]], np.array([0.0, 1.0]))
-    return _calibrated(model, np.array([[r["mean"], r["high"], r["highs"], r["length"]] for r in held]), label)
+    with scratch(docs.sparkSession):
+        named = labels.where(learn & F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg((F.max(label_col) >= 1).cast("int").alias("toxic"))
+        # the labelled ids grow with the input, so they are joined by shuffle at every size; rows not for learning stay out of it
+        rows = written(docs.where(learn).select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).join(named.hint("shuffle_hash"), "id"), "labelled")
+        fold = F.pmod(F.floor(F.crc32(F.col("id").cast("string").cast("binary")) / 3), F.lit(HELD))
+        counted = rows.select("text", "toxic", (fold == 0).alias("held")).mapInArrow(_count, "gram long, " + ", ".join(f"{c} long" for c in _COUNTS))
+        got = counted.groupBy("gram").agg(*[F.sum(c).alias(c) for c in _COUNTS]).toArrow()
+        keys, counts = got["gram"].to_numpy(), np.stack([got[c].to_numpy() for c in _COUNTS])
+        del got
+        order = np.argsort(keys)
+        keys, counts = keys[order], counts[:, order]
+        if not counts[:2].any(axis=1).all():
+            return float(named.agg(F.coalesce(F.avg("toxic"), F.lit(0.0)).alias("share")).first()["share"])
+        first = counts[:2].any(axis=0)
+        held = _applied(rows.where(fold == 0).select("text", "toxic"), kneser_ney(keys[first], counts[:2, first].astype(float)), "text", ["toxic"]).collect()
+        label = np.array([r["toxic"] for r in held], dtype=float)
+        model = kneser_ney(keys, (counts[:2] + counts[2:]).astype(float))
+        if not len(held) or label.min() == label.max():
+            return _calibrated(model, np.zeros((2, 4)) + [[-1], [1]], np.array([0.0, 1.0]))
+        return _calibrated(model, np.array([[r["mean"], r["high"], r["highs"], r["length"]] for r in held]), label)
 
 
 def _applied(df: DataFrame, model: Model, text: str, keep: list[str]) -> DataFrame:

@@ -136,3 +136,82 @@ def test_every_window_counts():
         ratio[missing] = model.novel.get(keys[missing] >> np.int64(10))[0]
         windows = sorted(ratio[i : i + 16].sum() / 16 for i in range(len(text) - 15))
         assert abs(got[1] - windows[-1]) < 1e-5 and abs(got[2] - np.mean(windows[-8:])) < 1e-5, text
+
+
+def test_model_against_plain_loops():
+    """Counts, shared backoff, both class models, windows and features by dictionaries over tuples of codes."""
+    rng = random.Random(4)
+    parts = ["ba", "ko", "ri", "t", "e", " ", " ", "-", "é", "9"]
+    made = lambda n: "".join(rng.choice(parts) for _ in range(n))
+    classes = [[made(60) for _ in range(6)], [made(60) for _ in range(9)]]
+    code = lambda ch: (ord(ch) if ch.isalnum() else 1)
+
+    def grams(text):
+        flat, out = [1] * 6 + [code(c) for c in text], []
+        for i in range(6, len(flat)):
+            gram = [flat[i]]
+            while len(gram) < 6 and (len(gram) == 1 or gram[0] != 1):
+                gram.insert(0, flat[i - len(gram)])
+            out.append((0,) * (6 - len(gram)) + tuple(gram))
+        return out
+
+    def discounted(counts):
+        once, twice = sum(v == 1 for v in counts.values()), sum(v == 2 for v in counts.values())
+        return once / (once + 2 * twice) if once and twice else 0.5
+
+    own = []
+    for texts in classes:
+        own.append({})
+        for g in (g for t in texts for g in grams(t)):
+            own[-1][g] = own[-1].get(g, 0) + 1
+    both = {g: own[0].get(g, 0) + own[1].get(g, 0) for g in {*own[0], *own[1]}}
+    below, upper = {}, both
+    levels = []
+    for n in range(5, 0, -1):
+        occurs, before = {}, {}
+        for g, v in upper.items():
+            occurs[g[1:]] = occurs.get(g[1:], 0) + v
+            before[g[1:]] = before.get(g[1:], 0) + 1
+        levels.append({g: occurs[g] if g[0] <= 1 else before[g] for g in occurs})
+        upper = occurs
+    for level in reversed(levels):
+        cut, total, kinds = discounted(level), {}, {}
+        for g, v in level.items():
+            total[g[:-1]], kinds[g[:-1]] = total.get(g[:-1], 0) + v, kinds.get(g[:-1], 0) + 1
+        below = {g: (v - cut) / total[g[:-1]] + cut * kinds[g[:-1]] / total[g[:-1]] * (below[g[1:]] if below else 1 / 1024) for g, v in level.items()}
+
+    def ratio(gram):
+        logs = []
+        for counts in own:
+            cut, total = discounted(counts), sum(v for g, v in counts.items() if g[:-1] == gram[:-1])
+            rest = cut * sum(g[:-1] == gram[:-1] for g in counts) / total if total else 1.0
+            if gram in both:
+                logs.append(np.log((max(counts.get(gram, 0) - cut, 0) / total if total else 0) + rest * below[gram[1:]]))
+            else:
+                logs.append(np.log(rest))
+        return logs[0] - logs[1]
+
+    pack = lambda g: sum(c << (10 * i) for i, c in enumerate(reversed(g)))
+    keys = np.array(sorted(map(pack, both)))
+    by_key = {pack(g): g for g in both}
+    model = X.kneser_ney(keys, np.array([[c.get(by_key[k], 0) for k in keys.tolist()] for c in own], dtype=float))
+    texts = [made(40), classes[0][0], classes[1][2], "ba", "qqq zzz", "", made(3)]
+    got = model.features(texts)
+    for text, row in zip(texts, got, strict=True):
+        r = [ratio(g) for g in grams(text)]
+        if not r:
+            assert not row.any()
+            continue
+        width = min(16, len(r))
+        windows = sorted((sum(r[i : i + width]) / 16 for i in range(len(r) - width + 1)), reverse=True)
+        want = [np.mean(r), windows[0], np.mean(windows[:8]), np.log1p(len(r))]
+        assert np.allclose(row, want, atol=1e-4), text
+
+
+def test_calibration_is_at_its_optimum():
+    rng = np.random.default_rng(6)
+    x, y = rng.normal(size=(300, 4)), (rng.random(300) < 0.3).astype(float)
+    model = X._calibrated(X.Model(X.Lookup(np.zeros(0, np.int64), np.zeros(0, np.float32)), X.Lookup(np.zeros(0, np.int64), np.zeros(0, np.float32))), x, y)
+    z = np.concatenate([np.ones((300, 1)), (x - x.mean(axis=0)) / x.std(axis=0)], axis=1)
+    ridge = np.diag([1e-6, 0.1, 0.1, 0.1, 0.1])
+    assert np.abs(z.T @ (model.scores(x) - y) + ridge @ model.weights).max() < 1e-4
