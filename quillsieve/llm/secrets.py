@@ -2,13 +2,17 @@
 
 Base kinds: ``assign`` (a name like password or token, then a value of 12 characters or more), ``access`` (AKIA keys
 of 18 characters or more) and ``hex`` (16 digits or more). The method adds ``entropy`` spans: a candidate is a run of
-20 characters or more of one character class that holds both letters and digits. A window slides over it; the counts
-of the characters in the window are kept as the window moves, and with them the sum of c * log2(c), so each step costs
-one character in and one out. The span is a finding if the entropy of any window reaches the class's threshold and
-no allow-list pattern matches the candidate. Only added spans are suppressed by the allow list.
-
-Defined cases: a null text is an empty text and has no spans. Rows are independent: repeated rows give equal spans.
-Columns of the input named like an output column are replaced.
+20 characters or more of one character class that holds both letters and digits. A window slides over it with the
+counts of its characters and the sum of c * log2(c): a step takes one character out and one in, which changes two counts
+and two terms of the sum, whatever the window's length (Spark's fold copies its state, so the counts of the alphabet
+are written anew each step). The span is a finding if the entropy of any window reaches the class's threshold and the
+allow list does not suppress the candidate. Only added spans are suppressed by the allow list, and filler words only
+count as far as they go: a candidate that holds 20 characters or more beside them stays.
+
+Defined cases: a null text is an empty text and has no spans. Texts and tokens are scanned whole, however long. Kinds
+may overlap, and spans that start together are in the order of the kinds; two classes that find the same span give it
+once. Rows are independent: repeated rows give equal spans, and an empty table gives an empty result. Columns of the
+input named like an output column are replaced.
 """
 
 from __future__ import annotations
@@ -30,10 +34,12 @@ CLASSES = {
     "hex": (r"(?<![A-Za-z0-9])[0-9A-Fa-f]{20,}+(?![A-Za-z0-9])", "0123456789abcdef", 20, 2.8),
     "base64": (r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-", 20, 3.9),
 }
-#: Candidates that are no secrets: runs and sequences, paths, UUIDs, and words joined by hyphens or underscores.
+#: Characters of a candidate at least.
+LEAST = 20
+#: Fillers: a candidate in which fewer than ``LEAST`` characters are left without them and without joints is no secret.
+FILLERS = r"(?i)0123456789|1234567890|abcdefghij|qwertyuiop|example|placeholder|changeme|xxxxxxxx|[/_-]"
+#: Other candidates that are no secrets: paths, UUIDs, and words joined by hyphens or underscores.
 ALLOW = [
-    r"^(?<one>.)\k<one>+$",
-    r"(?i)(0123456789|1234567890|abcdefghij|qwertyuiop|example|placeholder|changeme|xxxxxxxx)",
     r"^/?([A-Za-z]+[0-9]{0,3}/)+[A-Za-z]*[0-9]{0,3}$",
     r"(?i)^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$",
     r"^[A-Za-z]+([_-][A-Za-z]+)*([_-][0-9]{1,4})*$",
@@ -73,7 +79,7 @@ def entropy_spans(text: Column) -> Column:
 def _class_spans(text: Column, pattern: str, alphabet: str, window: int, threshold: float) -> Column:
     allowed = "|".join(f"(?:{p})" for p in ALLOW)
     folded = F.lower if alphabet.islower() else (lambda t: t)
-    mixed = lambda s: s["token"].rlike("[0-9]") & s["token"].rlike("[A-Za-z]") & ~s["token"].rlike(allowed)
+    mixed = lambda s: s["token"].rlike("[0-9]") & s["token"].rlike("[A-Za-z]") & ~s["token"].rlike(allowed) & (F.length(F.regexp_replace(s["token"], FILLERS, "")) >= LEAST)
     return F.filter(F.filter(regex_spans(text, pattern), mixed), lambda s: top_entropy(folded(s["token"]), alphabet, window) >= threshold)
 
 
@@ -111,3 +117,45 @@ def op7_secret_scan(spark, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"), F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("secrets")).alias("spans")
     )
+
+
+def _sql() -> str:
+    either = lambda word: "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in word)
+    names = "|".join(map(either, ("password", "passwd", "secret", "token"))) + f"|{either('api')}_?{either('key')}"
+    assign = rf"""({names})["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+    patterns = [assign, "AKIA[A-Z0-9]{14,}", "[0-9a-f]{16,}", "[A-Za-z0-9]{20,}", "[A-Za-z0-9+/_-]{20,}"]
+    quoted = [p.replace("'", "''") for p in patterns]
+    found = " UNION ALL ".join(f"SELECT rid, {i} AS rank, regexp_extract_all(t, '{p}') AS tokens, string_split_regex(t, '{p}') AS gaps FROM d WHERE regexp_matches(t, '{p}')" for i, p in enumerate(quoted))
+    allowed = " OR ".join(f"regexp_matches(token, '{p}')" for p in ALLOW)
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+found AS ({found}),
+placed AS (
+  SELECT rid, rank, tokens[i] AS token,
+    (list_sum(list_transform(gaps[:i], lambda g: length(g))) + coalesce(list_sum(list_transform(tokens[:i - 1], lambda g: length(g))), 0))::BIGINT AS first
+  FROM (SELECT *, unnest(range(1, len(tokens) + 1)) AS i FROM found)),
+cand AS (
+  SELECT rid, first, token, CASE rank WHEN 3 THEN lower(token) ELSE token END AS chars, CASE rank WHEN 3 THEN {CLASSES['hex'][3]} ELSE {CLASSES['base64'][3]} END AS least
+  FROM placed
+  WHERE (rank = 4 OR rank = 3 AND regexp_full_match(token, '[0-9A-Fa-f]+')) AND regexp_matches(token, '[0-9]') AND regexp_matches(token, '[A-Za-z]')
+    AND NOT ({allowed}) AND length(regexp_replace(token, '{FILLERS}', '', 'g')) >= {LEAST}),
+windows AS (SELECT *, unnest(range(1, length(chars) - 18)) AS w FROM cand),
+letters AS (SELECT rid, first, token, least, w, substr(chars, w + o, 1) AS ch FROM (SELECT *, unnest(range(0, 20)) AS o FROM windows)),
+counts AS (SELECT rid, first, token, least, w, ch, count(*) AS c FROM letters GROUP BY ALL),
+bits AS (SELECT rid, first, token, least, w, log2(20.0) - sum(c * log2(c)) / 20.0 AS b FROM counts GROUP BY ALL),
+spans AS (
+  SELECT rid, rank, first, first + length(token) AS last, ['assign', 'access', 'hex'][rank + 1] AS kind FROM placed
+  WHERE rank IN (1, 2) OR rank = 0 AND length(regexp_extract(token, '{quoted[0]}', 2)) >= 12
+  UNION ALL
+  SELECT DISTINCT rid, 3, first, first + length(token), 'entropy' FROM bits WHERE b >= least),
+texts AS (
+  SELECT rid, count(*) FILTER (WHERE rank = 0) AS n_assign, count(*) FILTER (WHERE rank = 1) AS n_access, count(*) FILTER (WHERE rank = 2) AS n_hex,
+    string_agg(kind || ':' || first || ':' || last, ',' ORDER BY first, rank, last) FILTER (WHERE rank < 3) AS base,
+    string_agg(kind || ':' || first || ':' || last, ',' ORDER BY first, rank, last) AS spans
+  FROM spans GROUP BY rid)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN texts USING (rid)
+"""
+
+
+OP7_SQL = _sql()

@@ -3,6 +3,8 @@ import math
 import random
 import re
 
+import duckdb
+
 from quillsieve.llm import secrets
 from quillsieve.llm.secrets import op7_secret_scan, redact, scan
 
@@ -87,3 +89,27 @@ def test_values_after_an_equals_sign_are_candidates(spark):
     found = {r.doc_id: [s["token"] for s in r.secrets if s["kind"] == "entropy"] for r in scan(df).collect()}
     assert found == dict.fromkeys(range(len(texts)), [key])
     assert {r.doc_id: r.text for r in redact(scan(df)).collect()} == {i: t.replace(key, "[SECRET]") for i, t in enumerate(texts)}
+
+
+def test_fillers_suppress_only_what_they_cover(spark):
+    key = "k3J9x2Qp7Zr5Tn8Wb4Yc6Vd1Mf"
+    kept = [f"my-example-{key}", f"example_{key}", f"{key}/placeholder"]
+    gone = ["example-0123456789-changeme-1234567890-k9", "0123456789abcdefghij0123456789", "path1/to2/some3/file4/deep5/x1", "550e8400-e29b-41d4-a716-446655440000", "some_words-joined_by-lines_2024"]
+    df = spark.createDataFrame([*enumerate(kept + gone)], "doc_id long, text string")
+    found = {r.doc_id: [s["token"] for s in r.secrets if s["kind"] == "entropy"] for r in scan(df).collect()}
+    assert [found[i] for i in range(len(kept))] == [[t] for t in kept]
+    assert not any(found[len(kept) + i] for i in range(len(gone)))
+
+
+def test_query_against_sql_and_on_odd_rows(spark, odd_documents, folder):
+    rng = random.Random(8)
+    made = ["".join(rng.choice(["token=", " ", "k3J9x2Qp7Zr5Tn8Wb4Yc6Vd1Mf", "example", "-", "é", "DEADbeef01", "😀", "\n", "0123456789", "AKIA", "ABCDEFGH12345678", "=", "/"]) for _ in range(rng.randrange(25))) for _ in range(300)]
+    docs = odd_documents.unionByName(spark.createDataFrame([(100 + i, t, "en", "s", 1) for i, t in enumerate([*TEXTS, *made])], odd_documents.schema))
+    d = folder(documents=docs)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{d}/documents.parquet/*.parquet'")
+    names = ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"]
+    order = lambda rows: sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1:]))
+    got = order(tuple(r[c] for c in names) for r in op7_secret_scan(spark, d).collect())
+    assert got == order(con.execute(f"SELECT {', '.join(names)} FROM ({secrets.OP7_SQL})").fetchall())
+    assert any("entropy" in r[5] for r in got)
