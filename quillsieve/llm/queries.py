@@ -6,13 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillsieve.llm.byte_bpe import op3_byte_bpe
+from quillsieve.llm.byte_bpe import op3_byte_bpe, op3_sql
 from quillsieve.llm.chroma import op2_chroma
 from quillsieve.llm.jaccard_join import OP10_SQL, op10_jaccard_join
 from quillsieve.llm.language import op5_language_id
 from quillsieve.llm.mixing import OP4_SQL, op4_poisson_mix
 from quillsieve.llm.pii import op6_pii
-from quillsieve.llm.secrets import op7_secret_scan
+from quillsieve.llm.secrets import OP7_SQL, op7_secret_scan
 from quillsieve.llm.shards import op8_shard
 from quillsieve.llm.toxicity import op1_toxicity
 from quillsieve.llm.va_file import OP9_SQL, op9_exact_topk
@@ -34,4 +34,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_poisson_mix": OP4_SQL, "op9_exact_topk": OP9_SQL, "op10_jaccard_join": OP10_SQL}
+    import public_tokenizers
+
+    return {"op3_byte_bpe": op3_sql(public_tokenizers.path("byte_bpe_50k.tiktoken")), "op4_poisson_mix": OP4_SQL, "op7_secret_scan": OP7_SQL, "op9_exact_topk": OP9_SQL, "op10_jaccard_join": OP10_SQL}
