@@ -35,8 +35,8 @@ from quillsieve.llm.common import table
 
 #: Text bytes that are split and encoded at once; a single longer text is taken whole.
 SLICE_BYTES = 2_000_000
-#: Pieces whose ids are remembered within a task, and the longest such piece in bytes.
-CACHE_PIECES, CACHE_BYTES = 150_000, 40
+#: Pieces whose ids are remembered within a task (some 80 MB), and the longest such piece in bytes.
+CACHE_PIECES, CACHE_BYTES = 400_000, 40
 #: Pieces longer than this many bytes are walked with a heap, and a bound of the sum of squared lengths of a query's pieces.
 WALK_BYTES, GROUP_WORK = 512, 8_000_000
 #: Ids that are decoded at once.
