@@ -27,9 +27,15 @@ def blank_to_null(c: Column) -> Column:
     return F.nullif(F.trim(c), F.lit(""))
 
 
+# All white space that is trimmed, by code point.
+WHITE = "".join(map(chr, [*range(9, 14), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
+
+
 def strip(c: Column) -> Column:
-    """All white space, also beyond ASCII, trimmed; an empty text is NULL."""
-    return F.nullif(F.regexp_replace(c, r"(?U)^\s+|\s+\z", ""), F.lit(""))
+    """All white space, also beyond ASCII, trimmed; an empty text is NULL. Texts that start and end in print stay as they are."""
+    printed = lambda x: x.between("!", "~")
+    trimmed = F.nullif(F.regexp_replace(c, rf"^[{WHITE}]+|[{WHITE}]+\z", ""), F.lit(""))
+    return F.when(printed(F.left(c, F.lit(1))) & printed(F.right(c, F.lit(1))), c).otherwise(trimmed)
 
 
 def json_field(payload: Column, key: str) -> Column:
