@@ -71,10 +71,13 @@ def _line_columns() -> dict[str, Column]:
 def lines(rows: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Accepted claim lines with the given columns (all, if none are given): typed, and one of all equal raw rows.
 
-    Raw rows are told apart by 128 bits of all their texts, so that only the wanted columns are shuffled.
+    Where columns are given, raw rows are told apart by 128 bits of all their texts, so that only those columns are
+    shuffled; for all columns the hashes would cost more than they save, and the rows themselves are compared.
     """
     made = _line_columns()
-    wanted = columns or [*made]
+    if columns is None:
+        return dedup_exact(rows).where(reject_reason().isNull()).select(*[v.alias(c) for c, v in made.items()])
+    wanted = columns
     hashes = [h.alias(f"row_hash_{i}") for i, h in enumerate(_row_hash(rows))]
     return rows.where(reject_reason().isNull()).select(*hashes, *[made[c].alias(c) for c in wanted]).dropDuplicates().select(*wanted)
 
